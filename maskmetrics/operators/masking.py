@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from maskmetrics.functions.matcher import Matcher, shared_matcher
 from maskmetrics.functions.text import WORD, regex_quote, tokens
-from maskmetrics.operators.lookup import salted_join, spread_of
+from maskmetrics.operators.lookup import BROADCAST_ROWS, salted_join, spread_of
 from maskmetrics.operators.registry import Registry, match_order
 from maskmetrics.session import ship
 
@@ -190,9 +190,9 @@ def _join_plan(df: DataFrame, columns: list[str], registry: Registry) -> DataFra
     counts = sorted(r["n_words"] for r in keys.select("n_words").distinct().collect())
     wordless = [(r["value"], r["alias"], r["ordinal"])
                 for r in (keys.where("n_words = 0").select("value", "alias", "ordinal").distinct()
-                          .limit(SMALL_VALUES + 1).collect() if 0 in counts else [])]
-    if len(wordless) > SMALL_VALUES:
-        raise ValueError("too many values without a letter or digit to look for in every text")
+                          .limit(BROADCAST_ROWS + 1).collect() if 0 in counts else [])]
+    if len(wordless) > BROADCAST_ROWS:
+        raise ValueError("more values without a letter or digit than fit a broadcast")
     packed = F.struct(*columns)
     row_type = df.select(packed.alias("r")).schema["r"].dataType
     keyed = df.withColumn("_leaves", _leaves(packed, row_type))

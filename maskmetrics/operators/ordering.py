@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
 from maskmetrics.session import settle
 
@@ -59,3 +59,41 @@ def dense_index(df: DataFrame, within: Sequence[str], order: Sequence[str],
                 .withColumn(index, F.col("_mid") - F.col("_first") + F.col("_in_group"))
                 .withColumn(position, F.col("_mid") - F.col("_first") + F.col("_in_all")))
     return Indexed(numbered.select(*df.columns, index, position), total, chars)
+
+
+@dataclass(frozen=True)
+class Running:
+    """A value that grows along the order: inside one part, and per finished part."""
+
+    inside: Callable[[Window], Column]
+    per_part: Column
+
+
+def running_sum(value: str) -> Running:
+    return Running(lambda w: F.sum(value).over(w), F.sum(value))
+
+
+def running_rank() -> Running:
+    return Running(lambda w: F.rank().over(w), F.count("*"))
+
+
+def running_dense_rank(order: str) -> Running:
+    return Running(lambda w: F.dense_rank().over(w), F.count_distinct(order))
+
+
+def running(df: DataFrame, within: Sequence[str], order: Column, **values: Running) -> DataFrame:
+    """Windows from the start of a group to the current value, for groups of any size.
+
+    Rows are range-partitioned by (within, order), so a hot group is spread over many
+    tasks and equal values stay together; each part then starts where the part before it
+    ended.
+    """
+    spread = df.repartitionByRange(*within, order)
+    fixed = settle(spread.withColumn("_part", F.spark_partition_id()), "runs")
+    ends = fixed.groupBy("_part", *within).agg(*(r.per_part.alias(f"_{n}") for n, r in values.items()))
+    before = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select("_part", *within, *(
+        F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in values))
+    inside = Window.partitionBy("_part", *within).orderBy(order)
+    return fixed.join(starts, ["_part", *within]).select(
+        *df.columns, *((r.inside(inside) + F.col(f"_{n}")).alias(n) for n, r in values.items()))
