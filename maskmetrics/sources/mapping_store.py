@@ -34,6 +34,17 @@ class MappingStore:
         stats.select("registry_entities", "detections", "degraded", created.alias("created")) \
             .write.mode("overwrite").parquet(f"{self.path}/stats/session_id={session_id}")
 
+    def save_all(self, mapping: DataFrame, stats: DataFrame) -> None:
+        """Write many sessions in one job; both frames carry session_id and created."""
+        if "source" not in mapping.columns:
+            mapping = mapping.withColumn("source", F.lit("registry"))
+        for name, df, columns in (
+                ("mapping", mapping, ("alias", "value", "source")),
+                ("stats", stats, ("registry_entities", "detections", "degraded"))):
+            df.select(*columns, "created", "session_id").write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy("session_id") \
+                .parquet(f"{self.path}/{name}")
+
     def _read(self, table: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
