@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("metric_queries", "report_queries", "shape_queries", "alias_queries")
+MODULES = ("metric_queries", "report_queries", "shape_queries", "alias_queries", "catalog_queries",
+           "pii_queries")
 
 
 def load_queries() -> tuple[dict, dict]:
