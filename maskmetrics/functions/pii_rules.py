@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from maskmetrics.functions.text import as_column, strip
+from maskmetrics.functions.text import as_column, bind, strip
 
 # The entity types acted on by default. Dates are left out on purpose.
 DEFAULT_TYPES = (
@@ -47,11 +47,12 @@ PRIORITY_LABEL = r"(?i)^P[1-4](?!\w)"
 
 def is_false_positive(text: Column | str, entity_type: Column | str) -> Column:
     """True for a detection that is clearly not personal data."""
-    s, kind = strip(text), as_column(entity_type)
-    return ((s == "") | F.lower(s).isin(*ALLOWED_WORDS) | s.rlike(GUID)
-            | (s.rlike(HEX_ID) & s.rlike(HEX_LETTER))
-            | (~kind.isin(*NUMERIC_TYPES) & s.rlike(NUMBER_OR_DATE))
-            | s.rlike(PRIORITY_LABEL))
+    kind = as_column(entity_type)
+    return bind(strip(text), lambda s: (
+        (s == "") | F.lower(s).isin(*ALLOWED_WORDS) | s.rlike(GUID)
+        | (s.rlike(HEX_ID) & s.rlike(HEX_LETTER))
+        | (~kind.isin(*NUMERIC_TYPES) & s.rlike(NUMBER_OR_DATE))
+        | s.rlike(PRIORITY_LABEL)))
 
 
 def luhn_valid(c: Column) -> Column:

@@ -15,6 +15,11 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c: Column | str) -> Column:
     """Trim any Unicode white space, not only blanks."""
     return F.regexp_replace(as_column(c), rf"^{_SPACE}+|{_SPACE}+$", "")

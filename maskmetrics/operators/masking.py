@@ -199,7 +199,8 @@ def _join_plan(df: DataFrame, columns: list[str], registry: Registry) -> DataFra
     # Equal texts share one look-up, keyed by their digest, so no row id is needed.
     keyed = keyed.withColumn("_key", F.sha2(F.to_json("_leaves"), 256))
     words = tokens(F.col("_leaf"), rf"{WORD}+")
-    runs = F.flatten(F.array(*(_word_runs("_w", n) for n in counts if n > 0)))
+    none = F.array().cast("array<string>")
+    runs = F.flatten(F.array(none, *(_word_runs("_w", n) for n in counts if n > 0)))
     asked = (keyed.select("_key", F.explode("_leaves").alias("_leaf"))
              .select("_key", words.alias("_w"))
              .select("_key", F.explode(F.array_distinct(runs)).alias("words")).distinct())

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from maskmetrics.functions.pii_rules import (
     DEFAULT_TYPES, PATTERN_DETECTORS, SCORE_THRESHOLD, PatternDetector, is_false_positive,
     may_match)
-from maskmetrics.functions.text import nfc, strip, tokens
+from maskmetrics.functions.text import bind, nfc, strip, tokens
 from maskmetrics.operators.lookup import Size, attach_values
 from maskmetrics.operators.masking import mask_table
 from maskmetrics.operators.ordering import dense_index
@@ -57,11 +57,6 @@ def pass2_state(enabled: bool, plugin: PluginDetector | None = None) -> str:
     return "active" if plugin is None else plugin.state()
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _pattern_spans(text: Column, detector: PatternDetector) -> Column:
     """Spans in code points, from the lengths of the matches and of the gaps between."""
     nothing = F.array().cast(f"array<{SPAN}>")
@@ -85,7 +80,7 @@ def _pattern_spans(text: Column, detector: PatternDetector) -> Column:
                         F.lit(float(detector.score)).alias("score"), pair["hit"].alias("text"))
         return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    return F.when(may_match(text, detector), _bind(tokens(text, detector.pattern), located)) \
+    return F.when(may_match(text, detector), bind(tokens(text, detector.pattern), located)) \
         .otherwise(nothing)
 
 
@@ -151,7 +146,7 @@ def detect_pii(df: DataFrame, column: str, detectors: Sequence[PatternDetector]
     every = F.concat(*parts) if parts else F.array().cast(f"array<{SPAN}>")
     usable = F.filter(every, lambda s: s["entity_type"].isin(*wanted) & (s["score"] >= threshold)
                       & ~s["text"].rlike(ALIASED) & ~is_false_positive(s["text"], s["entity_type"]))
-    return df.withColumn(out, F.when(worth_it, _bind(usable, _without_overlaps))
+    return df.withColumn(out, F.when(worth_it, bind(usable, _without_overlaps))
                          .otherwise(F.array().cast(f"array<{SPAN}>")))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from maskmetrics.functions.claims import at_precision, format_claim, numeric_cell, parse_numbers
 from maskmetrics.functions.panels import read_panels
-from maskmetrics.functions.text import strip
+from maskmetrics.functions.text import bind, strip
 from maskmetrics.operators.lookup import salted_join
 from maskmetrics.operators.restoring import rewrite_alias_literals
 from maskmetrics.session import settle, ship
@@ -47,20 +47,26 @@ def split_statements(body: Column | str) -> Column:
     DEFINE. Lines before the first keyword go with it, comments with the line they follow.
     """
     body = F.col(body) if isinstance(body, str) else body
-    lines = F.split(body, "\n")
-    words = F.filter(F.transform(lines, lambda line, i: F.struct(
-        i.alias("at"), F.upper(F.regexp_extract(line, STATEMENT_LINE, 1)).alias("word"))),
-        lambda k: k["word"] != "")
-    before = F.concat(F.array(F.lit("EVALUATE")), F.transform(words, lambda k: k["word"]))
-    starts = F.transform(
-        F.filter(F.zip_with(words, before, lambda k, b: F.struct(k["at"].alias("at"), k["word"].alias("word"),
-                                                               b.alias("before"))),
-                 lambda k: (k["word"] == "DEFINE") | ((k["word"] == "EVALUATE") & (k["before"] == "EVALUATE"))),
-        lambda k: k["at"])
-    begins = F.concat(F.array(F.lit(0)), F.slice(starts, F.lit(2), F.size(starts)))
-    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(lines)))
-    parts = F.zip_with(begins, ends, lambda b, e: F.array_join(F.slice(lines, b + 1, e - b), "\n"))
-    return F.when(F.size(starts) <= 1, F.array(body)).otherwise(parts)
+
+    def keyword_lines(lines: Column) -> Column:
+        return F.filter(F.transform(lines, lambda line, i: F.struct(
+            i.alias("at"), F.upper(F.regexp_extract(line, STATEMENT_LINE, 1)).alias("word"))),
+            lambda k: k["word"] != "")
+
+    def starts(words: Column) -> Column:
+        before = F.concat(F.array(F.lit("EVALUATE")), F.transform(words, lambda k: k["word"]))
+        marked = F.zip_with(words, before, lambda k, b: F.when(
+            (k["word"] == "DEFINE") | ((k["word"] == "EVALUATE") & (b == "EVALUATE")), k["at"]))
+        return F.filter(marked, lambda at: at.isNotNull())
+
+    def cut(lines: Column, at: Column) -> Column:
+        later = F.slice(at, F.lit(2), F.size(at))
+        begins, ends = F.concat(F.array(F.lit(0)), later), F.concat(later, F.array(F.size(lines)))
+        parts = F.zip_with(begins, ends, lambda b, e: F.array_join(F.slice(lines, b + 1, e - b), "\n"))
+        return F.when(F.size(at) <= 1, F.array(body)).otherwise(parts)
+
+    return bind(F.split(body, "\n"), lambda lines: bind(
+        bind(keyword_lines(lines), starts), lambda at: cut(lines, at)))
 
 
 def statement_panels(panels: DataFrame, key: str = "report_id") -> DataFrame:
@@ -202,8 +208,11 @@ def verify(panels: DataFrame, results: DataFrame, errors: DataFrame, key: list[s
     columns are carried along. A claim that is missing fails its panel, unless it is
     derivable; an unmatched percentage counts as derived unless ``strict_percent``.
     """
+    # Panels come out of parsed HTML and results out of queries: both are needed several
+    # times below and must not be computed again.
+    panels, results = settle(panels, "panels"), settle(results, "results")
     claims = claim_rows(panels, key)
-    flagged = matched_claims(claims, results, F.struct(*key, "claim_no"))
+    flagged = settle(matched_claims(claims, results, F.struct(*key, "claim_no")), "claims")
     open_claims = flagged.where(~F.col("matched") & ~F.col("is_percent"))
     totals = column_totals(results.join(open_claims.select("query_id").distinct(), "query_id", "left_semi"))
     derivable = derivable_claims(open_claims, totals).withColumn("_derivable", F.lit(True))
