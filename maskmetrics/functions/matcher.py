@@ -30,8 +30,8 @@ class Matcher:
         self._wordless: list = []
         for value, alias, ordinal in entries:
             rank = (-len(value), ordinal)
-            spellings = {value, unicodedata.normalize("NFC", value),
-                         unicodedata.normalize("NFD", value)}
+            spellings = (value,) if value.isascii() else {
+                value, unicodedata.normalize("NFC", value), unicodedata.normalize("NFD", value)}
             for spelling in spellings:
                 low = fold(spelling)
                 words = list(_WORD.finditer(low))
@@ -47,17 +47,16 @@ class Matcher:
         low = fold(text)
         found = []
         lengths = self._lengths
-        words = [(m.group(), m.start()) for m in _WORD.finditer(low)]
-        for i, (word, start) in enumerate(words):
-            counts = lengths.get(word)
-            if counts is None:
-                continue
-            for n in counts:
-                key = tuple(w for w, _ in words[i:i + n])
-                for form, lead, alias, rank in self._by_words.get(key, ()):
-                    begin = start - lead
-                    if begin >= 0 and low.startswith(form, begin):
-                        found.append((rank, begin, begin + len(form), alias))
+        words = _WORD.findall(low)
+        first = [i for i, word in enumerate(words) if word in lengths]
+        if first:
+            starts = [m.start() for m in _WORD.finditer(low)]
+            for i in first:
+                for n in lengths[words[i]]:
+                    for form, lead, alias, rank in self._by_words.get(tuple(words[i:i + n]), ()):
+                        begin = starts[i] - lead
+                        if begin >= 0 and low.startswith(form, begin):
+                            found.append((rank, begin, begin + len(form), alias))
         for form, alias, rank in self._wordless:
             begin = low.find(form)
             while begin >= 0:
@@ -72,19 +71,27 @@ class Matcher:
         found = self.spans(text)
         if not found:
             return text
-        taken = bytearray(len(text))
-        kept = []
-        for _, begin, end, alias in sorted(found):
-            if not any(taken[begin:end]):
-                taken[begin:end] = b"\x01" * (end - begin)
-                kept.append((begin, end, alias))
+        kept = sorted(s[1:] for s in found)
+        if any(a[1] > b[0] for a, b in zip(kept, kept[1:])):
+            kept = _without_overlaps(found, len(text))
         out, at = [], 0
-        for begin, end, alias in sorted(kept):
+        for begin, end, alias in kept:
             out += (text[at:begin], alias)
             at = end
         return "".join(out) + text[at:]
 
 
+def _without_overlaps(found: list[tuple], length: int) -> list[tuple]:
+    """Spans by rank, each kept where no kept one stands yet."""
+    taken = bytearray(length)
+    kept = []
+    for _, begin, end, alias in sorted(found):
+        if not any(taken[begin:end]):
+            taken[begin:end] = b"\x01" * (end - begin)
+            kept.append((begin, end, alias))
+    return sorted(kept)
+
+
 def shared_matcher(broadcast) -> Matcher:
     """The matcher of a broadcast dictionary, built once per worker process."""
     built = getattr(broadcast, "_matcher", None)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from maskmetrics.session import ship
+from maskmetrics.session import ship, spread_small
 
 # What may be copied to every executor: rows and characters of the dictionary.
 BROADCAST_ROWS = 200_000
@@ -64,6 +65,33 @@ def lookup_join(rows: DataFrame, dictionary: DataFrame, keys: list[str], spread:
     return salted_join(rows, dictionary, keys, spread, how)
 
 
+def key_filter(keys: DataFrame, column: str, rows: int) -> Callable[[Column], Column]:
+    """A test that is true for all values of ``keys`` and false for nearly all others.
+
+    A bit map of hashes with sixteen bits per key, between one kilobyte and four
+    megabytes whatever the size of the dictionary: a larger one only lets more pass.
+    """
+    bits = 1 << min(max((16 * rows).bit_length(), 13), 25)
+
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(bits))
+
+    at = place(F.col(column))
+    found = keys.groupBy(F.floor(at / 8).cast("int").alias("byte")).agg(
+        F.expr(f"bit_or(1 << cast(pmod(xxhash64({column}), 8) AS int))").alias("bits")).toArrow()
+    table = bytearray(bits // 8)
+    for byte, value in zip(found.column("byte").to_pylist(), found.column("bits").to_pylist()):
+        table[byte] = value
+    bitmap = F.lit(bytes(table))
+
+    def test(c: Column) -> Column:
+        byte = F.substring(bitmap, (F.floor(place(c) / 8) + 1).cast("int"), F.lit(1))
+        value = F.conv(F.hex(byte), 16, 10).cast("int")
+        return value.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.pmod(F.xxhash64(c), F.lit(8)).cast("int"))) != 0
+
+    return test
+
+
 def _broadcast_values(df: DataFrame, found: DataFrame, wanted: str, out: str) -> DataFrame:
     spark = df.sparkSession
     ship(spark)
@@ -99,7 +127,8 @@ def _joined_values(df: DataFrame, found: DataFrame, wanted: str, out: str,
     hits = salted_join(asked, found.select("key", "value"), ["key"], F.col("_words"), "inner")
     per_row = hits.groupBy("_words").agg(
         F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("_hits"))
-    joined = salted_join(keyed, per_row, ["_words"], spread)
+    # Unique on the right; adaptive execution splits words that fill a partition.
+    joined = keyed.join(per_row, "_words", "left")
     value = F.transform(wanted, lambda w: F.element_at(F.col("_hits"), w))
     nothing = F.transform(wanted, lambda w: F.lit(None).cast("string"))
     return joined.withColumn(out, F.when(F.col("_hits").isNull(), nothing).otherwise(value)) \
@@ -114,6 +143,7 @@ def attach_values(df: DataFrame, wanted: str, out: str, found: DataFrame, spread
     default the checked ``size`` decides.
     """
     plan = plan or ("broadcast" if size.bounded else "join")
+    df = spread_small(df)
     if plan == "broadcast":
         return _broadcast_values(df, found, wanted, out)
     return _joined_values(df, found, wanted, out, spread)

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from maskmetrics.functions.matcher import Matcher, shared_matcher
 from maskmetrics.functions.text import WORD, regex_quote, tokens
-from maskmetrics.operators.lookup import BROADCAST_ROWS, salted_join, spread_of
+from maskmetrics.operators.lookup import BROADCAST_ROWS, key_filter, salted_join
 from maskmetrics.operators.registry import Registry, match_order
-from maskmetrics.session import ship
+from maskmetrics.session import ship, spread_small
 
 # One noncharacter per value of the small plan: U+FDD0..U+FDEF never stand in text.
 _MARKS = [chr(c) for c in range(0xFDD0, 0xFDF0)]
@@ -156,7 +156,11 @@ def _leaves(c: Column, dt: T.DataType) -> Column:
 
 
 def _word_key(words: Column) -> Column:
-    return F.lower(F.array_join(words, " "))
+    return F.array_join(words, " ")
+
+
+def _words(text: Column | str) -> Column:
+    return tokens(F.lower(text), rf"{WORD}+")
 
 
 
@@ -178,7 +182,7 @@ def _dictionary_keys(registry: Registry) -> DataFrame:
     spellings = F.when(foreign, F.array_distinct(F.array(F.col("value"), nfc, nfd))) \
         .otherwise(F.array("value"))
     entry = registry.df.select("value", "alias", "ordinal", F.explode(spellings).alias("spelling"))
-    words = tokens("spelling", rf"{WORD}+")
+    words = _words("spelling")
     return entry.select(_word_key(words).alias("words"), F.size(words).alias("n_words"),
                         "value", "alias", "ordinal").distinct()
 
@@ -198,18 +202,23 @@ def _join_plan(df: DataFrame, columns: list[str], registry: Registry) -> DataFra
     keyed = df.withColumn("_leaves", _leaves(packed, row_type))
     # Equal texts share one look-up, keyed by their digest, so no row id is needed.
     keyed = keyed.withColumn("_key", F.sha2(F.to_json("_leaves"), 256))
-    words = tokens(F.col("_leaf"), rf"{WORD}+")
+    words = _words("_leaf")
     none = F.array().cast("array<string>")
     runs = F.flatten(F.array(none, *(_word_runs("_w", n) for n in counts if n > 0)))
-    asked = (keyed.select("_key", F.explode("_leaves").alias("_leaf"))
-             .select("_key", words.alias("_w"))
-             .select("_key", F.explode(F.array_distinct(runs)).alias("words")).distinct())
     lookup = keys.where("n_words > 0").groupBy("words").agg(
         F.collect_set(F.struct("value", "alias", "ordinal")).alias("_found"))
+    # Nearly all runs are in no dictionary. They go before the shuffle, so that common
+    # words do not gather in one task.
+    may_hold = key_filter(lookup.select("words"), "words", registry.size.rows)
+    asked = (keyed.select("_key", F.explode("_leaves").alias("_leaf"))
+             .select("_key", words.alias("_w"))
+             .select("_key", F.explode(F.filter(F.array_distinct(runs), may_hold)).alias("words")).distinct())
     hits = salted_join(asked, lookup, ["words"], F.col("_key"), "inner")
     per_text = hits.groupBy("_key").agg(
         F.array_distinct(F.flatten(F.collect_list("_found"))).alias("_entries"))
-    joined = salted_join(keyed, per_text, ["_key"], spread_of(df))
+    # One row per distinct text on the right: adaptive execution splits a text that fills
+    # a partition of its own, and copying all texts once per salt would cost more.
+    joined = keyed.join(per_text, "_key", "left")
 
     @F.arrow_udf(row_type)
     def rewrite(rows: pa.Array, entries: pa.Array) -> pa.Array:
@@ -250,6 +259,7 @@ def mask_columns(df: DataFrame, columns: list[str], registry: Registry,
     if not registry.enabled or registry.size.rows == 0 or not columns:
         return df
     plan = plan or mask_plan(registry)
+    df = spread_small(df)
     if plan == "small":
         rewrite = _small_rewriter(registry)
         return df.select(*(_rewrite_column(F.col(c), df.schema[c].dataType, rewrite).alias(c)

@@ -16,7 +16,7 @@ from maskmetrics.operators.lookup import Size, attach_values
 from maskmetrics.operators.masking import mask_table
 from maskmetrics.operators.ordering import dense_index
 from maskmetrics.operators.registry import Registry, get_mapping
-from maskmetrics.session import ship
+from maskmetrics.session import ship, spread_small
 
 SPAN = "struct<start:int,end:int,entity_type:string,score:double,text:string>"
 # Aliases of the dictionary that a detector must leave alone.
@@ -135,7 +135,7 @@ def detect_pii(df: DataFrame, column: str, detectors: Sequence[PatternDetector]
     ``types`` replaces the default entity types as it is. Aliases of the dictionary and
     clear non-personal values are left out.
     """
-    text = F.col(column)
+    df, text = spread_small(df), F.col(column)
     wanted = DEFAULT_TYPES if types is None else tuple(types)
     detectors = [d for d in detectors if d.entity_type in wanted and d.score >= threshold]
     parts = [_pattern_spans(text, d) for d in detectors]

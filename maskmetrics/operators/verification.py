@@ -145,7 +145,7 @@ def run_panels(spark: SparkSession, named: Mapping[str, Callable[[SparkSession],
 
 # --- matching --------------------------------------------------------------------------
 
-def matched_claims(claims: DataFrame, results: DataFrame, spread: Column, out: str = "matched") -> DataFrame:
+def matched_claims(claims: DataFrame, results: DataFrame, out: str = "matched") -> DataFrame:
     """Flag claims that a returned value of their query equals at the shown precision.
 
     Values meet claims on (query, decimals, rounded value), so no claim is compared with
@@ -159,7 +159,8 @@ def matched_claims(claims: DataFrame, results: DataFrame, spread: Column, out: s
         .select("query_id", "decimals", "is_percent", at_precision(F.col("v"), F.col("decimals")).alias("_unit")) \
         .distinct().withColumn(out, F.lit(True))
     keyed = claims.withColumn("_unit", at_precision(F.col("value"), F.col("decimals")))
-    joined = salted_join(keyed, keys, ["query_id", "decimals", "is_percent", "_unit"], spread)
+    # Unique on the right; adaptive execution splits a claim that very many reports make.
+    joined = keyed.join(keys, ["query_id", "decimals", "is_percent", "_unit"], "left")
     return joined.select(*claims.columns, F.coalesce(out, F.lit(False)).alias(out))
 
 
@@ -191,7 +192,7 @@ def derivable_claims(claims: DataFrame, totals: DataFrame) -> DataFrame:
 
 def diff_expected(claims: DataFrame, results: DataFrame) -> DataFrame:
     """Claims that no returned value matches."""
-    return matched_claims(claims, results, F.col("value")).where(~F.col("matched")).drop("matched")
+    return matched_claims(claims, results).where(~F.col("matched")).drop("matched")
 
 
 def claim_rows(panels: DataFrame, key: list[str]) -> DataFrame:
@@ -212,11 +213,11 @@ def verify(panels: DataFrame, results: DataFrame, errors: DataFrame, key: list[s
     # times below and must not be computed again.
     panels, results = settle(panels, "panels"), settle(results, "results")
     claims = claim_rows(panels, key)
-    flagged = settle(matched_claims(claims, results, F.struct(*key, "claim_no")), "claims")
+    flagged = settle(matched_claims(claims, results), "claims")
     open_claims = flagged.where(~F.col("matched") & ~F.col("is_percent"))
     totals = column_totals(results.join(open_claims.select("query_id").distinct(), "query_id", "left_semi"))
     derivable = derivable_claims(open_claims, totals).withColumn("_derivable", F.lit(True))
-    judged = salted_join(flagged, derivable, ["query_id", "value", "decimals"], F.struct(*key, "claim_no"))
+    judged = flagged.join(derivable, ["query_id", "value", "decimals"], "left")
     free_percent = F.lit(False) if strict_percent else F.col("is_percent")
     derived = ~F.col("matched") & (free_percent | (~F.col("is_percent") & F.coalesce("_derivable", F.lit(False))))
     text = format_claim(F.col("value"), F.col("decimals"), F.col("is_percent"))
@@ -235,8 +236,7 @@ def verify(panels: DataFrame, results: DataFrame, errors: DataFrame, key: list[s
     failing = panels.join(per_panel.where(F.size("_missing") > 0), key, "left_semi").select("query_id").distinct()
     shown = _first_values(results.join(failing, "query_id", "left_semi"))
     messages = errors.groupBy("query_id").agg(F.min("message").alias("_error"))
-    joined = salted_join(panels.join(per_panel, key, "left"), messages, ["query_id"], F.struct(*key))
-    joined = salted_join(joined, shown, ["query_id"], F.struct(*key))
+    joined = panels.join(per_panel, key, "left").join(messages, "query_id", "left").join(shown, "query_id", "left")
     error, missing = F.col("_error").isNotNull(), F.size(F.coalesce("_missing", F.array())) > 0
     none = F.size("expected") == 0
     empty = F.array().cast("array<string>")

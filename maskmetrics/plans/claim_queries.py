@@ -146,7 +146,7 @@ _JUDGED = f"""{_CLAIMS}, {_CELLS}, judged AS (SELECT c.*, EXISTS (SELECT 1 FROM
 @query(f"WITH {_JUDGED} SELECT report_id, panel_no, statement_no, claim_no, value, decimals, is_percent, matched FROM judged")
 def matched_report_claims(spark: SparkSession, d: str) -> DataFrame:
     claims = claim_rows(report_claims(spark, d), KEY)
-    return matched_claims(claims, panel_results(spark, d), F.struct(*KEY)).drop("query_id")
+    return matched_claims(claims, panel_results(spark, d)).drop("query_id")
 
 
 @query(f"WITH {_JUDGED} SELECT report_id, panel_no, statement_no, claim_no, value, decimals, is_percent FROM judged WHERE NOT matched")

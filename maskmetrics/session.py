@@ -64,3 +64,21 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     path = f"{scratch_root(spark).rstrip('/')}/maskmetrics/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a small input over the cores before work that is heavy per row.
+
+    One small file is one task, however many cores wait. Inputs of many files, or too
+    large for one default split per core, are left as they are.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not 0 < len(files) < cores:
+        return df
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f) for f in files)
+    size = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+    split = 128 * 1024 * 1024
+    return df.repartition(cores) if size < cores * split else df
