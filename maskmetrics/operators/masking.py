@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from maskmetrics.functions.matcher import Matcher, shared_matcher
-from maskmetrics.functions.text import WORD, regex_quote, tokens
+from maskmetrics.functions.text import WORD, regex_quote, splice, tokens
 from maskmetrics.operators.lookup import BROADCAST_ROWS, key_filter, salted_join
 from maskmetrics.operators.registry import Registry, match_order
 from maskmetrics.session import ship, spread_small
@@ -283,3 +283,22 @@ def mask_nested(df: DataFrame, column: str, registry: Registry,
 def mask_table(df: DataFrame, registry: Registry, plan: str | None = None) -> DataFrame:
     """Every string value of every column: by value, not by column."""
     return mask_columns(df, df.columns, registry, plan)
+
+
+_JSON_STRING = r'"(?:[^"\\]|\\.)*"\s*:?'
+
+
+def mask_json(df: DataFrame, column: str, registry: Registry, plan: str | None = None) -> DataFrame:
+    """A column of JSON texts: string values change, keys, numbers and layout stay."""
+    if not registry.enabled or registry.size.rows == 0:
+        return df
+    literals = tokens(column, _JSON_STRING)
+    decoded = F.transform(literals, lambda q: F.when(
+        ~F.endswith(q, F.lit(":")), F.element_at(F.from_json(F.concat(F.lit("["), q, F.lit("]")), "array<string>"), 1)))
+    # The values are masked as an array column, so that all plans serve JSON too.
+    masked = mask_columns(df.withColumn("_values", decoded).withColumn("_plain", F.col("_values")),
+                          ["_values"], registry, plan)
+    changed = F.zip_with(F.arrays_zip("_values", "_plain"), literals, lambda v, q: F.when(
+        v["_values"] != v["_plain"], F.regexp_extract(F.to_json(F.array(v["_values"])), r"(?s)^\[(.*)\]$", 1)).otherwise(q))
+    text = splice(column, _JSON_STRING, changed)
+    return masked.select(*(text.alias(c) if c == column else F.col(c) for c in df.columns))

@@ -9,7 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T, Window
 
 from maskmetrics.functions.text import normalize
-from maskmetrics.operators.registry import Registry
+from maskmetrics.operators.lookup import measure
+from maskmetrics.operators.registry import Registry, alias_value
+from maskmetrics.session import settle
 
 
 @dataclass(frozen=True)
@@ -150,10 +152,13 @@ def masked_table(table: DataFrame, registry: Registry, column: str = "name") ->
     """A limited table with its name column as aliases.
 
     The dictionary may be large and the table is not: the table's names pick their few
-    entries first.
+    entries first. A table that turns out large is joined as a whole.
     """
     if not registry.enabled:
         return table
+    table = settle(table, "table")
+    if not measure(table, column).bounded:
+        return alias_value(table, column, registry)
     keyed = table.withColumn("norm", normalize(column))
     wanted = keyed.select("norm").distinct()
     entries = registry.df.select("norm", "alias").join(F.broadcast(wanted), "norm", "left_semi")

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from maskmetrics.operators.masking import mask_nested, mask_table, mask_text
+from maskmetrics.operators.masking import mask_json, mask_nested, mask_table, mask_text
 from maskmetrics.operators.registry import (
     Registry, SensitiveColumn, alias_value, build_registry, category_counts, distinct_values, get_mapping,
     match_order, register_dynamic, registry_stats, sample_values, self_test, unalias_value)
@@ -207,6 +207,17 @@ def masked_table_by_value(spark: SparkSession, d: str) -> DataFrame:
     return mask_table(rows, desk_registry(spark, d))
 
 
+@query(f"WITH {ALIASES} SELECT o_orderkey, '{{\"' || c_name || '\":[\"' || alias || '\",' || o_custkey || '],\"note\":\"say \\\"' || alias || '\\\"\"}}' AS json "
+       "FROM orders JOIN customer ON c_custkey = o_custkey JOIN clients ON norm = lower(c_name)")
+def masked_json_texts(spark: SparkSession, d: str) -> DataFrame:
+    """JSON texts: names go from values and stay in keys."""
+    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    text = F.concat(F.lit('{"'), "c_name", F.lit('":["'), "c_name", F.lit('",'), F.col("o_custkey").cast("string"),
+                    F.lit('],"note":"say \\"'), "c_name", F.lit('\\""}'))
+    rows = table(spark, d, "orders").join(customers, "o_custkey").select("o_orderkey", text.alias("json"))
+    return mask_json(rows, "json", desk_registry(spark, d))
+
+
 # --- restoring ---------------------------------------------------------------------
 
 _PLAIN_LINES = (f"SELECT l_orderkey, l_linenumber, l_partkey, "

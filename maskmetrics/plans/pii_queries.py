@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from maskmetrics.functions.pii_rules import PATTERN_DETECTORS, is_false_positive
@@ -9,9 +11,12 @@ from maskmetrics.operators.pii import (
     anonymize, assign_tokens, detect_pii, explode_spans, full_mapping, pii_summary, replace_spans)
 from maskmetrics.operators.registry import registry_stats
 from maskmetrics.operators.restoring import restore_text
+from maskmetrics.operators.sessions import anonymize_and_save
 from maskmetrics.plans.alias_queries import ALIASES, desk_registry
 from maskmetrics.plans.facts import table
 from maskmetrics.plans.registered import query
+from maskmetrics.session import scratch_root
+from maskmetrics.sources.mapping_store import MappingStore, new_session
 
 _LUHN = ("list_sum(list_transform(range(1, length(n) + 1), lambda i: CASE WHEN (length(n) - i) % 2 = 0 THEN TRY_CAST(n[i] AS INTEGER) "
          "ELSE (TRY_CAST(n[i] AS INTEGER) * 2) // 10 + (TRY_CAST(n[i] AS INTEGER) * 2) % 10 END)) % 10 = 0")
@@ -109,6 +114,16 @@ def anonymized_notes(spark: SparkSession, d: str) -> DataFrame:
     return anonymize(_notes(spark, d), "text", "doc_id", desk_registry(spark, d)).df
 
 
+@query(f"WITH {ALIASES}, {_spans_sql(_NOTES)} SELECT alias, value, 'registry' AS source FROM registry UNION ALL "
+       "SELECT '<' || entity_type || '_' || n || '>', value, 'detection' FROM firsts")
+def mapping_saved_with_masking(spark: SparkSession, d: str) -> DataFrame:
+    """The mapping that masking left behind, read back from its session."""
+    store = MappingStore(spark, f"{scratch_root(spark)}/maskmetrics/sessions-{uuid.uuid4().hex}")
+    session = new_session()
+    anonymize_and_save(_notes(spark, d), "text", "doc_id", desk_registry(spark, d), store, session)
+    return store.load(session).select("alias", "value", "source")
+
+
 def _notes(spark: SparkSession, d: str) -> DataFrame:
     customers = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     text = F.concat(F.lit("Note by "), "c_name", F.lit(": mail user"), F.col("o_custkey").cast("string"),

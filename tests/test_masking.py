@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from maskmetrics.functions.matcher import Matcher
-from maskmetrics.operators.masking import holds_text, mask_nested, mask_plan, mask_table, mask_text
+from maskmetrics.operators.masking import holds_text, mask_json, mask_nested, mask_plan, mask_table, mask_text
 
 PLANS = ("small", "medium", "large")
 
@@ -109,3 +109,12 @@ def test_large_plan_with_one_text_in_most_rows(spark, registry_of):
 
 def test_matcher_keeps_positions_of_odd_characters():
     assert Matcher([("istanbul", "C", 0)]).replace("İx ISTANBUL") == "İx C"
+
+
+def test_json_values_change_and_keys_do_not(spark, registry_of):
+    r = registry_of(client=["Acme \"X\"", "k"])
+    text = '{"k" : ["acme \\"x\\"", 1.50, null, {"a": "k\\n: k"}], "k:": "é\\u0041"}'
+    df = spark.createDataFrame([(1, text), (2, None), (3, "[]"), (4, "no json")], "id int, j string")
+    for plan in PLANS:
+        got = [x["j"] for x in mask_json(df, "j", r, plan).orderBy("id").collect()]
+        assert got == ['{"k" : ["Client_A", 1.50, null, {"a": "Client_B\\n: Client_B"}], "k:": "é\\u0041"}', None, "[]", "no json"], plan
