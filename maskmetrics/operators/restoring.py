@@ -10,6 +10,7 @@ from maskmetrics.functions.text import WORD, html_escape, map_tokens, normalize,
 from maskmetrics.operators.lookup import Size, attach_values, measure
 from maskmetrics.operators.masking import mask_table
 from maskmetrics.operators.registry import Registry
+from maskmetrics.session import spread_small
 
 # How a token of a detected value looks, raw and HTML-escaped.
 TOKEN = r"<[A-Z][A-Z_]*_\d+>"
@@ -51,7 +52,7 @@ def _found_values(df: DataFrame, column: str, mapping: DataFrame, html: bool,
                   plan: str | None) -> tuple[DataFrame, str]:
     pattern, size = _alias_pattern(mapping, html)
     size = Size(size.rows * (3 if html else 2), size.chars * (3 if html else 2))
-    with_words = df.withColumn("_wanted", tokens(column, pattern))
+    with_words = spread_small(df).withColumn("_wanted", tokens(column, pattern))
     return attach_values(with_words, "_wanted", "_values", _entries(mapping, html),
                          F.col(column), size, plan), pattern
 
@@ -107,7 +108,7 @@ def rewrite_alias_literals(df: DataFrame, column: str, mapping: DataFrame,
     literals = tokens(column, LITERAL)
     inside = F.flatten(F.transform(literals, lambda q: tokens(q, pattern)))
     found = mapping.select(F.col("alias").alias("key"), "value")
-    with_words = df.withColumn("_wanted", inside)
+    with_words = spread_small(df).withColumn("_wanted", inside)
     known = attach_values(with_words, "_wanted", "_values", found, F.col(column),
                           measure(mapping, "alias", "value"), plan)
     hits = F.filter(F.arrays_zip("_wanted", "_values"), lambda p: p["_values"].isNotNull())

@@ -12,7 +12,7 @@ from maskmetrics.functions.panels import read_panels
 from maskmetrics.functions.text import bind, strip
 from maskmetrics.operators.lookup import salted_join
 from maskmetrics.operators.restoring import rewrite_alias_literals
-from maskmetrics.session import settle, ship
+from maskmetrics.session import settle, ship, spread_small
 
 # How result comments and statements start.
 RESULT_LINE = r"(?i)^\s*--\s*(?:Result|Resultaat)\s*:\s*(.*)$"
@@ -36,7 +36,7 @@ def extract_panels(reports: DataFrame, key: str = "report_id", html: str = "html
             yield pd.DataFrame(rows, columns=[key, "panel_no", "family", "label", "body"])
 
     candidates = reports.select(key, html).where(F.col(html).rlike("(?i)<pre"))
-    return candidates.mapInPandas(
+    return spread_small(candidates).mapInPandas(
         parse, f"{key} {key_type}, panel_no int, family string, label string, body string")
 
 
