@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from maskmetrics.operators.lookup import measure
 from maskmetrics.operators.masking import mask_table
-from maskmetrics.operators.pii import TokenTable, detect_pii, replace_spans, value_key
 from maskmetrics.operators.ordering import dense_index
-from maskmetrics.operators.pii import explode_spans
+from maskmetrics.operators.pii import TokenTable, detect_pii, explode_spans, replace_spans, value_key
 from maskmetrics.operators.registry import Registry, register_dynamic
 from maskmetrics.session import settle
 
@@ -39,7 +38,6 @@ class StreamMasker:
     names: Sequence[tuple[str, str]] = ()          # (column, category) of new names
     pii_column: str | None = None
     key: str | None = None                         # orders rows for token numbering
-    stored: bool = field(default=True)
 
     def _generation(self, batch: int) -> tuple[str, str]:
         return f"{self.target}/registry/batch_id={batch}", f"{self.target}/tokens/batch_id={batch}"

@@ -1,8 +1,6 @@
 import sys
 from pathlib import Path
 
-from pyspark.sql import functions as F
-
 from maskmetrics.streaming.mask_stream import StreamMasker, mask_stream
 
 SMALL = "/root/testdata/sf0.001"

@@ -1,7 +1,6 @@
 import itertools
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from maskmetrics.functions.claims import numeric_cell, parse_numbers
