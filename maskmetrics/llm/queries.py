@@ -27,3 +27,18 @@ def op2_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(docs, ["source"], ["doc_id"], shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all `documents`, and the bytes that they decode to, as digests."""
+    import public_tokenizers
+
+    from maskmetrics.llm.bpe import encode_texts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = encode_texts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                         decoded="decoded")
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
