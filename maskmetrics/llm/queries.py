@@ -42,3 +42,14 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query
+def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the smallest doc_id that links of 2 bits reach."""
+    from maskmetrics.llm.simhash import near_duplicates
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_duplicates(docs, width=3, distance=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
