@@ -53,3 +53,14 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(docs, width=3, distance=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+@_query
+def op5_winnowed_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a ten-word window of a benchmark item, and the items."""
+    from maskmetrics.llm.decontamination import contamination
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"), size=10, gram=5)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
