@@ -64,3 +64,22 @@ def op5_winnowed_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(docs, table(spark, sf_dir, "benchmark"), size=10, gram=5)
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@_query
+def op4_huffman_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All `documents` as token ids in one Huffman-coded file, read back from it."""
+    import uuid
+
+    import public_tokenizers
+
+    from maskmetrics.llm.huffman import read_token_file, write_token_file
+    from maskmetrics.llm.word_tokens import tokenized
+    from maskmetrics.session import scratch_root, settle
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = settle(tokenized(docs, public_tokenizers.path("word_bpe_49k.json"), end=1), "tokens")
+    path = f"{scratch_root(spark).rstrip('/')}/maskmetrics/token-file-{uuid.uuid4().hex}"
+    write_token_file(rows, path, vocabulary=49_408)
+    return read_token_file(spark, path).select(
+        "doc_id", "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
