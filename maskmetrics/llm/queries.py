@@ -83,3 +83,39 @@ def op4_huffman_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_token_file(rows, path, vocabulary=49_408)
     return read_token_file(spark, path).select(
         "doc_id", "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@_query
+def op3_chat_loss_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All `conversations`, and one that says control strings, formatted, masked and read back."""
+    import public_tokenizers
+
+    from maskmetrics.llm.chat import format_conversations, read_conversations
+
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.createDataFrame([(-1, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))],
+                                 "conv_id long, turn long, role string, text string")
+    formatted = format_conversations(said.unionByName(hard), public_tokenizers.path("byte_bpe_50k.json"))
+    back = read_conversations(formatted)
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+
+
+ORACLES["op3_chat_loss_masks"] = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped AS (
+    SELECT *, regexp_replace(text, '([<\[])(\\*)(s>|/s>|INST\]|/INST\])', '\1\\\2\3', 'g') AS body,
+           regexp_replace(role, '([<\[])(\\*)(s>|/s>|INST\]|/INST\])', '\1\\\2\3', 'g') AS head FROM said)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(17 + length(head) + length(body)) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id"""
