@@ -119,3 +119,15 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(3 + sum(17 + length(head) + length(body)) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id"""
+
+
+@_query
+def op8_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odds that a document is labelled toxic, learned from the rows that are not held out."""
+    from maskmetrics.llm.toxicity import fit, held_out_key, with_toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"), held_out=held_out_key())
+    return with_toxicity(docs, model).select(
+        "doc_id", held_out_key().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"))
