@@ -43,3 +43,14 @@ def byte_texts(column: pa.Array) -> list[bytes]:
 def key_remainder(key: str, n: int) -> Column:
     """crc32 of the key, as text, modulo ``n``; a null key counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % n
+
+
+def labelled_keys(labels: DataFrame, key: str, label: str, held_out: Column | None, most: int) -> DataFrame:
+    """(key, label 0 or 1): at most ``most`` keys that have one label, the smallest by hash.
+
+    Null keys and labels, keys with both labels and keys that ``held_out`` takes are left out.
+    """
+    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
+    known = known.where(~held_out) if held_out is not None else known
+    one = known.groupBy(F.col(key).alias("key")).agg(F.min(label).alias("low"), F.max(label).alias("high")).where("low = high")
+    return one.select("key", (F.col("low") > 0).cast("int").alias("label")).orderBy(F.xxhash64("key"), "key").limit(most)

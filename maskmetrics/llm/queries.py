@@ -131,3 +131,13 @@ def op8_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_toxicity(docs, model).select(
         "doc_id", held_out_key().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("passages").alias("n_passages"))
+
+
+@_query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, and whether learned rules keep it."""
+    from maskmetrics.llm.quality import COUNTS, learn_rules, with_verdict
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = learn_rules(docs, table(spark, sf_dir, "labels"))
+    return with_verdict(docs, rules).select("doc_id", *(F.col(f"counts.{c}") for c in COUNTS), "base_failed", "kept", "rule")

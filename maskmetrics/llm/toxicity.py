@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from maskmetrics.llm.common import byte_texts, key_remainder, text_slices
+from maskmetrics.llm.common import byte_texts, key_remainder, labelled_keys, text_slices
 from maskmetrics.llm.words import ALPHANUMERIC, hashed_words, mix, runs
 from maskmetrics.session import settle, ship
 
@@ -136,15 +136,6 @@ def with_passages(df: DataFrame, model: Model, text: str = "text", significance:
     return df.select(*kept, F.col(text).alias("__text")).mapInArrow(run, schema)
 
 
-def _labelled(df: DataFrame, labels: DataFrame, key: str, label: str, held_out: Column | None) -> DataFrame:
-    """(key, toxic): at most MOST_LABELS keys with one label, the smallest by hash of the key."""
-    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
-    known = known.where(~held_out) if held_out is not None else known
-    one = known.groupBy(F.col(key).alias("key")).agg(F.min(label).alias("low"), F.max(label).alias("high")).where("low = high")
-    return (one.select("key", (F.col("low") > 0).cast("int").alias("toxic"))
-            .orderBy(F.xxhash64("key"), "key").limit(MOST_LABELS))
-
-
 def _sketches(rows: DataFrame) -> DataFrame:
     """(key, toxic, sketch): least hashes of three-word runs, alike in texts that are alike."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +213,7 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     The decay of the extreme-value law solves E exp(decay * score) = 1 on clean text.
     Without labels of both kinds nothing gets a weight.
     """
-    chosen = settle(_labelled(df, labels, key, label, held_out), "labels")
+    chosen = settle(labelled_keys(labels, key, label, held_out, MOST_LABELS).select("key", F.col("label").alias("toxic")), "labels")
     ship(df.sparkSession)
 
     def texts(names: DataFrame, *columns: str) -> DataFrame:
