@@ -141,3 +141,19 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = learn_rules(docs, table(spark, sf_dir, "labels"))
     return with_verdict(docs, rules).select("doc_id", *(F.col(f"counts.{c}") for c in COUNTS), "base_failed", "kept", "rule")
+
+
+@_query
+def op7_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, by counts alone and by attention over subwords."""
+    import public_tokenizers
+
+    from maskmetrics.llm.common import key_remainder
+    from maskmetrics.llm.lm import fit, with_scores
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = key_remainder("doc_id", 7) == 2
+    model = fit(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), held_out)
+    return with_scores(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score")

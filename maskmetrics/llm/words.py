@@ -10,7 +10,7 @@ ALPHANUMERIC = bytes(
 # A to Z lower-cased; the six ASCII blanks become spaces.
 BLANK_SEPARATED = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 32 or 9 <= b <= 13 else b for b in range(256))
 
-_PRIME = 0x100000001B3
+_FACTOR = 0xD6E8FEB86659FD93
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,9 +29,9 @@ class _Powers:
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = 1 << max(16, (n - 1).bit_length())
-            inverse = pow(_PRIME, -1, 1 << 64)
+            inverse = pow(_FACTOR, -1, 1 << 64)
             self.up, self.down = (np.concatenate([np.ones(1, np.uint64), np.full(size - 1, p, np.uint64)]).cumprod(
-                dtype=np.uint64) for p in (_PRIME, inverse))
+                dtype=np.uint64) for p in (_FACTOR, inverse))
         return self.up[:n], self.down[:n]
 
 
