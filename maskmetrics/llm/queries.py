@@ -157,3 +157,28 @@ def op7_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_scores(docs, model).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score")
+
+
+def _document_paths(docs: DataFrame) -> DataFrame:
+    """Documents as files: English ones in the folder of their source, others in one per language."""
+    folder = F.when(F.col("lang") == "en", F.col("source")).otherwise(F.concat_ws("/", "source", "lang"))
+    return docs.select("doc_id", F.concat(folder, F.lit("/"), F.col("doc_id").cast("string")).alias("path"), "text")
+
+
+@_query
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document: its own notice, or the nearest licence file above it."""
+    from maskmetrics.llm.licenses import with_licences
+
+    found = with_licences(_document_paths(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "path", "licence", "evidence", "cosine", "licence_path")
+
+
+def _licence_oracle() -> str:
+    from maskmetrics.llm.licenses import oracle
+
+    return oracle("SELECT doc_id, CASE WHEN lang = 'en' THEN source ELSE concat_ws('/', source, lang) END || '/' || doc_id AS path, "
+                  "text FROM documents")
+
+
+ORACLES["op9_licence_scan"] = _licence_oracle()
