@@ -54,7 +54,7 @@ def test_round_trip_of_a_block(n):
 
 def _texts():
     rng = random.Random(9)
-    pool = ["the of and ", "ABC xyz", "'s't DON'T I'll ", "éèÇ Ñß İI ς Σ", "0123 ", "漢字 한글", "🙂 ‍👍🏽", "   \x1c\x85", "\t\n\x0b", "́̇̊", "a.b, c| ..",
+    pool = ["the of and ", "ABC xyz", "'s't DON'T I'll ", "éèÇ Ñß İI ς Σ", "ÀÖØßÿ÷×ªº µ", "a1b22.é!!", "###", "'é", "0123 ", "漢字 한글", "🙂 ‍👍🏽", "   \x1c\x85", "\t\n\x0b", "́̇̊", "a.b, c| ..",
             "<|endoftext|> <|startoftext|>", "\x00\x01"]
     for _ in range(800):
         letters = "".join(rng.sample(pool, rng.randint(1, 3)))
