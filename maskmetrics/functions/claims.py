@@ -4,23 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from maskmetrics.functions.text import as_column
+from maskmetrics.functions.text import as_column, strip
 
-# What a number looks like, and the labels whose digits are no metric.
-NUMBER = r"(?<![A-Za-z0-9])[-+]?(?:[€$£]\s?)?\d(?:[\d.,]*\d)?\s?%?"
-PRODUCT = r"(?iu)\b(?:Microsoft|Office|Windows|Dynamics|SharePoint|SQL\s+Server)\s+\d+\b"
+# What a number looks like, and the labels whose digits are no metric. (?U) makes
+# white space, word borders and digits those of Unicode: reports are full of no-break spaces.
+NUMBER = r"(?U)(?<![A-Za-z0-9])[-+]?(?:[€$£]\s?)?\d(?:[\d.,]*\d)?\s?%?"
+PRODUCT = r"(?iuU)\b(?:Microsoft|Office|Windows|Dynamics|SharePoint|SQL\s+Server)\s+\d+\b"
 MONTHS = (
     r"jan(?:uari|uary)?|feb(?:ruari|ruary)?|maart|mar(?:ch)?|apr(?:il)?|mei|may"
     r"|jun[ie]?|june|jul[iy]?|july|aug(?:ustus|ust)?|sep(?:tember)?|okt(?:ober)?"
     r"|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
 )
-DATE = (rf"(?iu)\b\d{{1,2}}\s+(?:{MONTHS})\.?\s+\d{{2,4}}\b|\b(?:{MONTHS})\.?\s+\d{{4}}\b"
+DATE = (rf"(?iuU)\b\d{{1,2}}\s+(?:{MONTHS})\.?\s+\d{{2,4}}\b|\b(?:{MONTHS})\.?\s+\d{{4}}\b"
         r"|\b\d{4}-\d{2}-\d{2}\b")
-YEAR = r"\b(?:19|20)\d{2}\b"
+YEAR = r"(?U)\b(?:19|20)\d{2}\b"
 
 CLAIM = "struct<value:double,decimals:int,is_percent:boolean>"
 # What a numeric text looks like to a float parser; underscores may group digits.
-NUMERIC_TEXT = r"^\s*[+-]?(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:[eE][+-]?\d+)?\s*$"
+NUMERIC_TEXT = r"^[+-]?(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:[eE][+-]?\d+)?$"
 
 
 def strip_calendar(text: Column | str) -> Column:
@@ -46,13 +47,13 @@ def _plain_number(digits: Column) -> Column:
 
 def parse_claim(token: Column) -> Column:
     """One number token as a claim; its value is null where it is no number after all."""
-    bare = F.regexp_replace(token, r"[€$£%\s]", "")
+    bare = F.regexp_replace(token, r"(?U)[€$£%\s]", "")
     plain = _plain_number(F.regexp_replace(bare, r"^[-+]", ""))
     sign = F.when(F.startswith(bare, F.lit("-")), -1.0).otherwise(1.0)
     return F.struct(
         (sign * plain.try_cast("double")).alias("value"),
         F.char_length(F.regexp_extract(plain, r"\.(.*)$", 1)).alias("decimals"),
-        token.rlike(r"%\s*$").alias("is_percent"))
+        token.rlike(r"(?U)%\s*$").alias("is_percent"))
 
 
 def parse_numbers(text: Column | str) -> Column:
@@ -69,11 +70,29 @@ def format_claim(value: Column, decimals: Column, is_percent: Column) -> Column:
 
 def numeric_cell(text: Column | str) -> Column:
     """A result cell as a number: null counts as 0, text that is no number as null."""
-    text = as_column(text)
-    number = F.replace(F.trim(text), F.lit("_"), F.lit("")).try_cast("double")
+    text = strip(text)
+    number = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
     return F.when(text.isNull(), 0.0).when(text.rlike(NUMERIC_TEXT), number)
 
 
+def _halves(c: Column) -> tuple[Column, Column]:
+    """A double as the sum of two with half the digits each."""
+    wide = c * 134217729.0
+    high = wide - (wide - c)
+    return high, c - high
+
+
 def at_precision(value: Column, decimals: Column) -> Column:
-    """The value in units of its last shown digit, halves to even."""
-    return F.rint(value * F.pow(F.lit(10.0), decimals))
+    """The value in units of its last shown digit, rounded as its exact binary value asks.
+
+    A double is rarely the decimal it is written as: 2.675 is a little less, so it rounds to
+    2.67, though the product 2.675 * 100 comes out as 267.5. Where the product looks like a
+    half, the part of it that was rounded away decides; only true halves go to the even side.
+    """
+    scale = F.pow(F.lit(10.0), decimals)
+    scaled = value * scale
+    below = F.floor(scaled).cast("double")
+    (vh, vl), (sh, sl) = _halves(value), _halves(scale)
+    lost = ((vh * sh - scaled) + vh * sl + vl * sh) + vl * sl
+    return F.when((scaled - below == 0.5) & (lost > 0), below + 1.0) \
+        .when((scaled - below == 0.5) & (lost < 0), below).otherwise(F.rint(scaled))

@@ -9,16 +9,40 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable
+from functools import lru_cache
 
 _WORD = re.compile(r"\w+")
 
 
+@lru_cache(maxsize=None)
+def fold_char(c: str) -> str:
+    """Simple case folding of one character: the lower form of its upper form.
+
+    The rule of case-insensitive regexes, in Java and in Python. It never looks at
+    neighbours and never changes the number of characters.
+    """
+    if c == "\u0130":
+        return "i"
+    up = c.upper() if len(c.upper()) == 1 else c
+    low = up.lower()
+    return low if len(low) == 1 else c
+
+
 def fold(text: str) -> str:
-    """Lower case that keeps every character position."""
-    low = text.lower()
-    if len(low) == len(text):
-        return low
-    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    """Case folding that keeps every character position."""
+    return text.lower() if text.isascii() else "".join(map(fold_char, text))
+
+
+@lru_cache(maxsize=1)
+def unlike_lower() -> tuple[str, str]:
+    """The characters that ``fold`` maps otherwise than lower-casing a text, and their images.
+
+    With these translated first, lower-casing a text in the JVM is ``fold``. The capital
+    sigma is among them because its lower form depends on its place in a word.
+    """
+    odd = [c for c in map(chr, range(128, 0x30000)) if not 0xD800 <= ord(c) < 0xE000 and fold_char(c) != c.lower()]
+    odd = list(dict.fromkeys([*odd, "\u03a3", "\u03c2"]))
+    return "".join(odd), "".join(map(fold_char, odd))
 
 
 class Matcher:

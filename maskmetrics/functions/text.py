@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
+from maskmetrics.functions.matcher import unlike_lower
+
 # One word character: letters and digits of any script, and the underscore.
 WORD = r"[\p{L}\p{N}_]"
 _SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]"
@@ -25,6 +27,13 @@ def strip(c: Column | str) -> Column:
     return F.regexp_replace(as_column(c), rf"^{_SPACE}+|{_SPACE}+$", "")
 
 
+def fold_case(c: Column | str) -> Column:
+    """``matcher.fold`` as a column: simple case folding, character by character."""
+    c = as_column(c)
+    odd, image = unlike_lower()
+    return F.when(c.rlike(r"[^\p{ASCII}]"), F.lower(F.translate(c, odd, image))).otherwise(F.lower(c))
+
+
 def nfc(c: Column | str) -> Column:
     """Unicode NFC; the composer is called only for values outside ASCII."""
     c = as_column(c)

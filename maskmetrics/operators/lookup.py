@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -68,26 +69,27 @@ def lookup_join(rows: DataFrame, dictionary: DataFrame, keys: list[str], spread:
 def key_filter(keys: DataFrame, column: str, rows: int) -> Callable[[Column], Column]:
     """A test that is true for all values of ``keys`` and false for nearly all others.
 
-    A bit map of hashes with sixteen bits per key, between one kilobyte and four
-    megabytes whatever the size of the dictionary: a larger one only lets more pass.
+    Sixteen bits per key, as an array of longs: what tasks hold is two bytes per key of the
+    dictionary, up to 8 MB. Beyond four million keys more foreign values pass, and the
+    join behind the filter drops them.
     """
-    bits = 1 << min(max((16 * rows).bit_length(), 13), 25)
+    bits = 1 << min(max((16 * rows).bit_length(), 13), 26)
 
     def place(c: Column) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(bits))
 
     at = place(F.col(column))
-    found = keys.groupBy(F.floor(at / 8).cast("int").alias("byte")).agg(
-        F.expr(f"bit_or(1 << cast(pmod(xxhash64({column}), 8) AS int))").alias("bits")).toArrow()
-    table = bytearray(bits // 8)
-    for byte, value in zip(found.column("byte").to_pylist(), found.column("bits").to_pylist()):
-        table[byte] = value
-    bitmap = F.lit(bytes(table))
+    words = keys.groupBy(F.shiftright(at, 6).alias("word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast(pmod(xxhash64({column}), 64) AS int)))").alias("bits")).toArrow()
+    table = np.zeros(bits // 64, np.int64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    # A constant: folded into one array when the plan is made.
+    held = F.from_json(F.lit("[" + ",".join(map(str, table.tolist())) + "]"), "array<bigint>")
 
     def test(c: Column) -> Column:
-        byte = F.substring(bitmap, (F.floor(place(c) / 8) + 1).cast("int"), F.lit(1))
-        value = F.conv(F.hex(byte), 16, 10).cast("int")
-        return value.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.pmod(F.xxhash64(c), F.lit(8)).cast("int"))) != 0
+        word = F.get(held, F.shiftright(place(c), 6).cast("int"))
+        mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(c), F.lit(64)).cast("int"))
+        return word.bitwiseAND(mask) != 0
 
     return test
 

@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from maskmetrics.functions.matcher import Matcher, shared_matcher
-from maskmetrics.functions.text import WORD, regex_quote, splice, tokens
-from maskmetrics.operators.lookup import BROADCAST_ROWS, key_filter, salted_join
+from maskmetrics.functions.text import WORD, bind, fold_case, regex_quote, splice, tokens
+from maskmetrics.operators.lookup import key_filter, salted_join
 from maskmetrics.operators.registry import Registry, match_order
-from maskmetrics.session import ship, spread_small
+from maskmetrics.session import settle, ship, spread_small
 
 # One noncharacter per value of the small plan: U+FDD0..U+FDEF never stand in text.
 _MARKS = [chr(c) for c in range(0xFDD0, 0xFDF0)]
@@ -54,15 +54,17 @@ def _is_word(ch: str) -> bool:
 
 
 def _small_rewriter(registry: Registry):
+    if registry.size.rows > SMALL_VALUES:
+        raise ValueError(f"the small plan holds {SMALL_VALUES} values, not {registry.size.rows}")
     entries = [(r["value"], r["alias"]) for r in match_order(registry).collect()]
 
     def rewrite(c: Column) -> Column:
         marked, direct = c, c
-        for mark, (value, alias) in zip(_MARKS, entries):
+        for mark, (value, alias) in zip(_MARKS, entries, strict=False):
             pattern = boundary_guard(value)
             marked = F.regexp_replace(marked, pattern, mark)
             direct = F.regexp_replace(direct, pattern, alias)
-        for mark, (_, alias) in zip(_MARKS, entries):
+        for mark, (_, alias) in zip(_MARKS, entries, strict=False):
             marked = F.replace(marked, F.lit(mark), F.lit(alias))
         # A text that already holds such a mark is rewritten without marks.
         return F.when(c.rlike("[﷐-﷯]"), direct).otherwise(marked)
@@ -160,11 +162,10 @@ def _word_key(words: Column) -> Column:
 
 
 def _words(text: Column | str) -> Column:
-    return tokens(F.lower(text), rf"{WORD}+")
+    return tokens(fold_case(text), rf"{WORD}+")
 
 
-
-def _word_runs(words: str, n: int) -> Column:
+def _word_runs(words: Column, n: int) -> Column:
     """Every run of ``n`` consecutive words as a key."""
     starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
     return F.when(F.size(words) >= n,
@@ -172,8 +173,23 @@ def _word_runs(words: str, n: int) -> Column:
         .otherwise(F.array().cast("array<string>"))
 
 
+def _wordless_runs(text: Column, lengths: list[int]) -> Column:
+    """Every piece of one of the ``lengths`` of the runs between words, marked as wordless."""
+    gaps = F.filter(F.split(text, rf"{WORD}+"), lambda g: g != "")
+
+    def pieces(gap: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.char_length(gap) - (n - 1))
+        return F.when(F.char_length(gap) >= n, F.transform(starts, lambda i: F.concat(F.lit("\0"), F.substring(gap, i, F.lit(n))))) \
+            .otherwise(F.array().cast("array<string>"))
+
+    return F.flatten(F.transform(gaps, lambda g: F.flatten(F.array(*(pieces(g, n) for n in lengths)))))
+
+
 def _dictionary_keys(registry: Registry) -> DataFrame:
-    """One row per spelling: (words, n_words, value, alias, ordinal)."""
+    """One row per spelling: (words, n_words, n_chars, value, alias, ordinal).
+
+    A value without a word is its own key, behind a mark that no word holds.
+    """
     nfd = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"),
                     F.col("value"), F.lit(False))
     nfc = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"),
@@ -183,36 +199,44 @@ def _dictionary_keys(registry: Registry) -> DataFrame:
         .otherwise(F.array("value"))
     entry = registry.df.select("value", "alias", "ordinal", F.explode(spellings).alias("spelling"))
     words = _words("spelling")
-    return entry.select(_word_key(words).alias("words"), F.size(words).alias("n_words"),
+    key = F.when(F.size(words) > 0, _word_key(words)).otherwise(F.concat(F.lit("\0"), fold_case("spelling")))
+    return entry.select(key.alias("words"), F.size(words).alias("n_words"), F.char_length("spelling").alias("n_chars"),
                         "value", "alias", "ordinal").distinct()
 
 
 def _join_plan(df: DataFrame, columns: list[str], registry: Registry) -> DataFrame:
+    """Texts meet only the dictionary entries whose words they hold.
+
+    Rows without any word run that the filter lets pass hold no value: they are neither
+    shuffled nor handed to Python. The others are joined with their entries by the digest of
+    their texts, equal texts once.
+    """
     spark = df.sparkSession
     ship(spark)
-    keys = _dictionary_keys(registry)
-    counts = sorted(r["n_words"] for r in keys.select("n_words").distinct().collect())
-    wordless = [(r["value"], r["alias"], r["ordinal"])
-                for r in (keys.where("n_words = 0").select("value", "alias", "ordinal").distinct()
-                          .limit(BROADCAST_ROWS + 1).collect() if 0 in counts else [])]
-    if len(wordless) > BROADCAST_ROWS:
-        raise ValueError("more values without a letter or digit than fit a broadcast")
+    keys = settle(_dictionary_keys(registry), "mask-keys")
+    shapes = keys.groupBy("n_words", F.when(F.col("n_words") == 0, F.col("n_chars")).alias("n")).count().collect()
+    counts = sorted({r["n_words"] for r in shapes} - {0})
+    lengths = sorted(r["n"] for r in shapes if r["n_words"] == 0)
     packed = F.struct(*columns)
     row_type = df.select(packed.alias("r")).schema["r"].dataType
-    keyed = df.withColumn("_leaves", _leaves(packed, row_type))
-    # Equal texts share one look-up, keyed by their digest, so no row id is needed.
-    keyed = keyed.withColumn("_key", F.sha2(F.to_json("_leaves"), 256))
-    words = _words("_leaf")
     none = F.array().cast("array<string>")
-    runs = F.flatten(F.array(none, *(_word_runs("_w", n) for n in counts if n > 0)))
-    lookup = keys.where("n_words > 0").groupBy("words").agg(
-        F.collect_set(F.struct("value", "alias", "ordinal")).alias("_found"))
+    lookup = keys.groupBy("words").agg(F.collect_set(F.struct("value", "alias", "ordinal")).alias("_found"))
     # Nearly all runs are in no dictionary. They go before the shuffle, so that common
     # words do not gather in one task.
-    may_hold = key_filter(lookup.select("words"), "words", registry.size.rows)
-    asked = (keyed.select("_key", F.explode("_leaves").alias("_leaf"))
-             .select("_key", words.alias("_w"))
-             .select("_key", F.explode(F.filter(F.array_distinct(runs), may_hold)).alias("words")).distinct())
+    may_hold = key_filter(keys.select("words"), "words", registry.size.rows)
+
+    def runs_of(leaf: Column) -> Column:
+        runs = bind(_words(leaf), lambda w: F.flatten(F.array(none, *(_word_runs(w, n) for n in counts))))
+        if lengths:
+            runs = F.concat(runs, _wordless_runs(fold_case(leaf), lengths))
+        return F.filter(F.array_distinct(runs), may_hold)
+
+    keyed = df.withColumn("_leaves", F.array_distinct(_leaves(packed, row_type)))
+    keyed = keyed.withColumn("_runs", F.array_distinct(F.flatten(F.transform("_leaves", runs_of))))
+    plain = keyed.where(F.size("_runs") == 0).select(*df.columns)
+    # Equal texts share one look-up, keyed by their digest, so no row id is needed.
+    keyed = keyed.where(F.size("_runs") > 0).withColumn("_key", F.sha2(F.to_json("_leaves"), 256))
+    asked = keyed.select("_key", F.explode("_runs").alias("words")).distinct()
     hits = salted_join(asked, lookup, ["words"], F.col("_key"), "inner")
     per_text = hits.groupBy("_key").agg(
         F.array_distinct(F.flatten(F.collect_list("_found"))).alias("_entries"))
@@ -233,15 +257,17 @@ def _join_plan(df: DataFrame, columns: list[str], registry: Registry) -> DataFra
                 return [(k, walk(v, replace, kind.item_type)) for k, v in node]
             return replace(node) if isinstance(node, str) else node
 
-        out = []
+        out, built = [], {}
         for row, found in zip(rows.to_pylist(), entries.to_pylist()):
-            own = [(e["value"], e["alias"], e["ordinal"]) for e in found or ()] + wordless
-            out.append(walk(row, Matcher(own).replace, rows.type) if own else row)
+            own = tuple(sorted((e["value"], e["alias"], e["ordinal"]) for e in found or ()))
+            if own and own not in built:
+                built[own] = Matcher(own)
+            out.append(walk(row, built[own].replace, rows.type) if own else row)
         return pa.array(out, rows.type)
 
     done = joined.withColumn("_row", rewrite(packed, F.col("_entries")))
     return done.select(*(F.col(f"_row.{c}").alias(c) if c in columns else F.col(c)
-                         for c in df.columns))
+                         for c in df.columns)).unionByName(plain)
 
 
 # --- public -----------------------------------------------------------------------

@@ -6,23 +6,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from maskmetrics.functions.text import WORD, html_escape, map_tokens, normalize, splice, tokens
+from maskmetrics.functions.text import (
+    WORD, html_escape, map_tokens, normalize, regex_quote, splice, tokens)
 from maskmetrics.operators.lookup import Size, attach_values, measure
 from maskmetrics.operators.masking import mask_table
 from maskmetrics.operators.registry import Registry
-from maskmetrics.session import spread_small
+from maskmetrics.session import settle, spread_small
 
 # How a token of a detected value looks, raw and HTML-escaped.
 TOKEN = r"<[A-Z][A-Z_]*_\d+>"
 ESCAPED_TOKEN = r"&lt;[A-Z][A-Z_]*_\d+&gt;"
 _TOKEN_PARTS = r"^<([A-Z][A-Z_]*_\d+)>$"
-_SHAPED = rf"{WORD}*_{WORD}+"
-_SHAPED_WHOLE = rf"^(?:{TOKEN}|{_SHAPED})$"
+# A token that lost its brackets must stand alone; an alias may stand inside a longer word.
+_BARE = rf"(?<!{WORD})[A-Z][A-Z_]*_\d+(?!{WORD})"
+_NUMBERED, _LETTERED = r"^(.*_)\d+$", r"^(.*_)[A-Z]$"
+# Forms and odd aliases that a pattern may list; a mapping with more is read by whole words.
+MOST_FORMS = 1_000
 
 # A double-quoted literal, a doubled quote standing for one quote inside it.
 LITERAL = r'"(?:[^"]|"")*"'
-# The alias forms that may stand in a query literal.
-LITERAL_ALIAS = rf"{TOKEN}|Client_[A-Z0-9]+|(?:Resource|Contact|Workspace|Dataset|Item)_\d+"
+# The categories whose aliases may stand in a query literal.
+LITERAL_CATEGORIES = ("Resource", "Contact", "Workspace", "Dataset", "Item")
+LITERAL_ALIAS = "|".join([TOKEN, r"Client_[A-Z0-9]+", *(rf"{c}_\d+" for c in LITERAL_CATEGORIES)])
 
 
 def _entries(mapping: DataFrame, html: bool) -> DataFrame:
@@ -41,11 +46,36 @@ def _entries(mapping: DataFrame, html: bool) -> DataFrame:
 
 
 def _alias_pattern(mapping: DataFrame, html: bool) -> tuple[str, Size]:
-    """The token to look for, and the size of the mapping, in one pass over it."""
-    odd = mapping.agg(F.count_if(~F.col("alias").rlike(_SHAPED_WHOLE)).alias("odd")).first()["odd"]
-    word = rf"{WORD}+" if odd else _SHAPED
+    """What to look for in texts, and the size of the mapping, in one pass over it.
+
+    Aliases are a stem and a number or a letter; the stems are few, so one pattern finds all
+    aliases wherever they stand. An alias of another form is listed as it is: before the
+    stems if it continues one, else after them, longer ones first.
+    """
+    alias = F.col("alias")
+    numbered, lettered = F.regexp_extract(alias, _NUMBERED, 1), F.regexp_extract(alias, _LETTERED, 1)
+    form = (F.when(alias.rlike(_TOKEN_PARTS), F.struct(F.lit("token").alias("kind"), F.lit("").alias("text")))
+            .when(numbered != "", F.struct(F.lit("number").alias("kind"), numbered.alias("text")))
+            .when(lettered != "", F.struct(F.lit("letter").alias("kind"), lettered.alias("text")))
+            .otherwise(F.struct(F.lit("odd").alias("kind"), alias.alias("text"))))
+    forms = mapping.groupBy(form.alias("form")).agg(
+        F.count("*").alias("n"), F.sum(F.char_length("alias") + F.coalesce(F.char_length("value"), F.lit(0))).alias("c"))
+    # Stems, and as many odd aliases as a pattern may hold, with the totals of all of them.
+    forms = settle(forms, "alias-forms")
+    total = forms.agg(F.sum("n").alias("n"), F.sum("c").alias("c")).first()
+    size = Size(total["n"] or 0, total["c"] or 0)
+    rows = forms.orderBy(F.col("form.kind") == "odd", "form").limit(MOST_FORMS + 1).collect()
+    found = [(r["form"]["kind"], r["form"]["text"]) for r in rows]
     escaped = ESCAPED_TOKEN + "|" if html else ""
-    return f"{escaped}{TOKEN}|{word}", measure(mapping, "alias", "value")
+    if len(found) > MOST_FORMS:
+        return f"{escaped}{TOKEN}|{WORD}+", size
+    stems = sorted({t for k, t in found if k in ("number", "letter")}, key=lambda t: (-len(t), t))
+    ends = {t: [e for k, e in (("number", r"\d+"), ("letter", r"[A-Z](?![\p{L}\p{N}])")) if (k, t) in set(found)] for t in stems}
+    written = [rf"{regex_quote(t)}(?:{'|'.join(ends[t])})" for t in stems]
+    odd = sorted((t for k, t in found if k == "odd" and t), key=lambda t: (-len(t), t))
+    longer = [t for t in odd if any(t.startswith(s) for s in stems)]
+    parts = [TOKEN, *map(regex_quote, longer), *written, _BARE, *(regex_quote(t) for t in odd if t not in set(longer))]
+    return escaped + "|".join(parts), size
 
 
 def _found_values(df: DataFrame, column: str, mapping: DataFrame, html: bool,
@@ -59,9 +89,11 @@ def _found_values(df: DataFrame, column: str, mapping: DataFrame, html: bool,
 
 def restore_text(df: DataFrame, column: str, mapping: DataFrame, html: bool = False,
                  plan: str | None = None) -> DataFrame:
-    """Replace every alias of ``mapping`` (alias, value) that stands as a whole token.
+    """Replace every alias of ``mapping`` (alias, value), also inside a longer word.
 
-    Tokens that lost their angle brackets are restored too.
+    All digits behind a stem belong to the alias, and a letter only if no letter or digit
+    follows. Tokens that lost their angle brackets are
+    restored too, but only where they stand alone.
     """
     found, pattern = _found_values(df, column, mapping, html, plan)
     known = F.transform(F.arrays_zip("_wanted", "_values"),

@@ -15,8 +15,8 @@ from maskmetrics.operators.restoring import rewrite_alias_literals
 from maskmetrics.session import settle, ship, spread_small
 
 # How result comments and statements start.
-RESULT_LINE = r"(?i)^\s*--\s*(?:Result|Resultaat)\s*:\s*(.*)$"
-STATEMENT_LINE = r"(?i)^\s*(DEFINE|EVALUATE)(?![\w])"
+RESULT_LINE = r"(?iU)^\s*--\s*(?:Result|Resultaat)\s*:\s*(.*)$"
+STATEMENT_LINE = r"(?iU)^\s*(DEFINE|EVALUATE)(?![\w])"
 
 RESULT_SCHEMA = "query_id string, row_no long, col_no int, col string, value double"
 ERROR_SCHEMA = "query_id string, message string"

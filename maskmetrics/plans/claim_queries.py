@@ -134,12 +134,14 @@ def result_column_totals(spark: SparkSession, d: str) -> DataFrame:
 
 _CELLS = ("cells AS (SELECT report_id, 0 AS panel_no, 0 AS statement_no, 'n' AS col, CAST(n AS DOUBLE) AS v FROM sums UNION ALL SELECT report_id, 0, 0, 'resolved', CAST(resolved AS DOUBLE) FROM sums "
           "UNION ALL SELECT report_id, 1, 0, 'value', CAST(value AS DOUBLE) FROM sums UNION ALL SELECT report_id, 1, 1, 'largest', CAST(largest AS DOUBLE) FROM sums)")
-_MATCH = ("abs(round_even(v, decimals) - value) < pow(10, -(decimals + 6)) OR (is_percent AND abs(round_even(v * 100, decimals) - value) < pow(10, -(decimals + 6)))")
+# printf rounds the exact binary value, as the engine does.
+_MATCH = ("abs(CAST(printf('%.*f', CAST(decimals AS INT), v) AS DOUBLE) - value) < pow(10, -(decimals + 6)) OR (is_percent AND "
+          "abs(CAST(printf('%.*f', CAST(decimals AS INT), v * 100) AS DOUBLE) - value) < pow(10, -(decimals + 6)))")
 _JUDGED = f"""{_CLAIMS}, {_CELLS}, judged AS (SELECT c.*, EXISTS (SELECT 1 FROM cells r WHERE r.report_id = c.report_id AND r.panel_no = c.panel_no
     AND r.statement_no = c.statement_no AND ({_MATCH})) AS matched,
   EXISTS (SELECT 1 FROM cells a JOIN cells b ON a.report_id = b.report_id AND a.panel_no = b.panel_no AND a.statement_no = b.statement_no
     WHERE a.report_id = c.report_id AND a.panel_no = c.panel_no AND a.statement_no = c.statement_no
-    AND abs(round_even(CASE WHEN a.col = b.col THEN a.v ELSE abs(a.v - b.v) END, c.decimals) - c.value) < pow(10, -(c.decimals + 6))) AS derivable
+    AND abs(CAST(printf('%.*f', CAST(c.decimals AS INT), CASE WHEN a.col = b.col THEN a.v ELSE abs(a.v - b.v) END) AS DOUBLE) - c.value) < pow(10, -(c.decimals + 6))) AS derivable
   FROM claims c)"""
 
 

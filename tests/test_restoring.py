@@ -16,6 +16,9 @@ CASES = [
     ({"<PERSON_1>": "Jan"}, "<PERSON_1> met <PERSON_2>", "Jan met <PERSON_2>"),
     ({"Client_A": "Client_B", "Client_B": "Zed"}, "Client_A Client_B", "Client_B Zed"),
     ({"Client_A": "Acme"}, "Client_AB", "Client_AB"),
+    ({"Client_A": "Acme", "Resource_1": "Jan"}, "_Client_A_ and QBR_Client_A.html, Client_A's x Client_A_2026, Resource_1a Resource_12",
+     "_Acme_ and QBR_Acme.html, Acme's x Acme_2026, Jana Resource_12"),
+    ({"Client": "Short", "Client_A": "Acme", "Client_Alpha": "Long", "x.y": "Dot"}, "Client_AlphaClient_A Client x.y xzy", "LongAcme Short Dot xzy"),
 ]
 
 
