@@ -49,7 +49,9 @@ def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
     again = F.filter("sorted", lambda x, i: (x["g"] == F.get("sorted", i + 1)["g"]) | (x["g"] == F.get("sorted", i - 1)["g"]))
     step = step.withColumn("again", again)
     covered = F.size(F.array_distinct(F.flatten(F.transform("again", lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
-    return step.select("row.*", F.struct(
+    # Exploded from a list of one: a filter on the counts then stays above this step. Pushed
+    # below, it would make every count anew for each place that names it.
+    return step.select("row.*", F.explode(F.array(F.struct(
         F.size("words").cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("body", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -60,7 +62,7 @@ def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
         F.regexp_count("body", F.lit("[!?]")).cast("long").alias("n_calls"),
         F.regexp_count("body", F.lit("[0-9]")).cast("long").alias("n_digits"),
         F.coalesce(F.array_min("grams"), F.lit(0)).alias("least_gram"),
-        F.coalesce(F.array_max("grams"), F.lit(0)).alias("last_gram")).alias("counts"))
+        F.coalesce(F.array_max("grams"), F.lit(0)).alias("last_gram")))).alias("counts"))
 
 
 def measures() -> dict[str, Column]:
