@@ -21,26 +21,27 @@ NUMERIC_TYPES = (
 SCORE_THRESHOLD = 0.7
 
 # Words that are never personal data.
-ALLOWED_WORDS = tuple("""
-january february march april may june july august september october november december
-monday tuesday wednesday thursday friday saturday sunday
-critical high medium low urgent normal
-open closed complete pending resolved escalated
-new active inactive waiting scheduled
-kritiek hoog gemiddeld laag dringend normaal
-nieuw gesloten voltooid wachtend opgelost
-ticket contract project service support backup patch alert device endpoint
-hours ratio sla count sum total average avg
-snapshot queue queues resource resources capacity
-divide calculate filter sumx countx countrows distinctcount averagex maxx minx rankx topn
-related summarize summarizecolumns addcolumns selectedvalue isblank switch values
-allexcept dateadd datesytd totalytd earlier coalesce format concatenate concatenatex
-""".split())
+ALLOWED_WORDS = (
+    "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november",
+    "december",
+    "monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday",
+    "critical", "high", "medium", "low", "urgent", "normal",
+    "open", "closed", "complete", "pending", "resolved", "escalated",
+    "new", "active", "inactive", "waiting", "scheduled",
+    "kritiek", "hoog", "gemiddeld", "laag", "dringend", "normaal",
+    "nieuw", "gesloten", "voltooid", "wachtend", "opgelost",
+    "ticket", "contract", "project", "service", "support", "backup", "patch", "alert", "device", "endpoint",
+    "hours", "ratio", "sla", "count", "sum", "total", "average", "avg",
+    "snapshot", "queue", "queues", "resource", "resources", "capacity",
+    "divide", "calculate", "filter", "sumx", "countx", "countrows", "distinctcount", "averagex", "maxx", "minx",
+    "rankx", "topn",
+    "related", "summarize", "summarizecolumns", "addcolumns", "selectedvalue", "isblank", "switch", "values",
+    "allexcept", "dateadd", "datesytd", "totalytd", "earlier", "coalesce", "format", "concatenate", "concatenatex",
+)
 
 # Shapes that are never personal data.
 GUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-HEX_ID = r"(?i)^[0-9a-f]{8,}$"
-HEX_LETTER = r"(?i)[a-f]"
+HEX_ID = r"(?i)^(?=.*[a-f])[0-9a-f]{8,}$"
 NUMBER_OR_DATE = r"^\d[\dT.,:/ \-]*$"
 PRIORITY_LABEL = r"(?i)^P[1-4](?!\w)"
 
@@ -50,7 +51,7 @@ def is_false_positive(text: Column | str, entity_type: Column | str) -> Column:
     kind = as_column(entity_type)
     return bind(strip(text), lambda s: (
         (s == "") | F.lower(s).isin(*ALLOWED_WORDS) | s.rlike(GUID)
-        | (s.rlike(HEX_ID) & s.rlike(HEX_LETTER))
+        | s.rlike(HEX_ID)
         | (~kind.isin(*NUMERIC_TYPES) & s.rlike(NUMBER_OR_DATE))
         | s.rlike(PRIORITY_LABEL)))
 
@@ -61,6 +62,7 @@ def luhn_valid(c: Column) -> Column:
 
 def iban_valid(c: Column) -> Column:
     """Country and check digits go last, letters count 10..35, remainder by 97 is 1."""
+    c = F.replace(c, F.lit(" "), F.lit(""))
     moved = F.concat(F.substring(c, 5, 1000), F.substring(c, 1, 4))
 
     def step(acc: Column, ch: Column) -> Column:
@@ -70,6 +72,12 @@ def iban_valid(c: Column) -> Column:
     return F.aggregate(F.regexp_extract_all(moved, F.lit("."), F.lit(0)), F.lit(0), step) == 1
 
 
+def dea_valid(c: Column) -> Column:
+    """Odd digits plus twice the even ones end in the seventh digit."""
+    d = [F.substring(c, i, 1).cast("int") for i in range(3, 10)]
+    return (d[0] + d[2] + d[4] + 2 * (d[1] + d[3] + d[5])) % 10 == d[6]
+
+
 @dataclass(frozen=True)
 class PatternDetector:
     """One entity type found by a Java regex.
@@ -88,20 +96,27 @@ class PatternDetector:
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|[01]?\d?\d)"
 _DIGITS = r"\d[\d.]"
+_PIECE = "[0-9A-Fa-f]{1,4}"
 
 PATTERN_DETECTORS = (
-    PatternDetector("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    PatternDetector("EMAIL_ADDRESS", r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
                     1.0, ("@",)),
     PatternDetector("CREDIT_CARD", r"\b\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}\b", 1.0,
                     hint=_DIGITS, valid=luhn_valid),
-    PatternDetector("IBAN_CODE", r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b", 1.0,
-                    hint=_DIGITS, valid=iban_valid),
+    # In one run, or in printed groups of four.
+    PatternDetector("IBAN_CODE", r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b", 1.0,
+                    hint=_DIGITS + r"|[A-Z]{2}\d{2} ", valid=iban_valid),
     PatternDetector("IP_ADDRESS", rf"\b(?:{_OCTET}\.){{3}}{_OCTET}\b", 0.95, hint=_DIGITS),
+    PatternDetector("IP_ADDRESS", rf"(?<![\w:])(?:(?:{_PIECE}:){{7}}{_PIECE}|(?:{_PIECE}(?::{_PIECE}){{0,5}})?::"
+                                  rf"(?:{_PIECE}(?::{_PIECE}){{0,5}}))(?![\w:])", 0.95,
+                    hint=f"::[0-9A-Fa-f]|(?:{_PIECE}:){{7}}"),
     PatternDetector("US_SSN", r"\b\d{3}-\d{2}-\d{4}\b", 0.85, hint=_DIGITS),
     PatternDetector("URL", r"\b(?:https?://|www\.)[^\s<>\"']+", 0.8, ("://", "www.")),
     PatternDetector("PHONE_NUMBER",
-                    r"(?:\+\d{1,3} )?\(\d{3}\) \d{3}-\d{4}\b|\+\d{8,15}\b|\b0\d{9}\b|\b\d{3}[.-]\d{3}[.-]\d{4}\b",
-                    0.75, hint=_DIGITS),
+                    r"(?:\+\d{1,3} )?\(\d{3}\) \d{3}-\d{4}\b|\+\d{8,15}\b|\+\d{1,3}(?:[ -]\d{1,9}){2,5}\b|\b0\d{9}\b|\b0\d{1,3}-\d{6,8}\b"
+                    r"|\b\d{3}[.-]\d{3}[.-]\d{4}\b",
+                    0.75, hint=_DIGITS + r"|\+\d|\d-\d"),
+    PatternDetector("MEDICAL_LICENSE", r"\b[ABCDEFGHJKLMNPQRSTUX][A-Z9]\d{7}\b", 1.0, hint=_DIGITS, valid=dea_valid),
 )
 
 

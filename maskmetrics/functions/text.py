@@ -90,6 +90,29 @@ def map_tokens(text: Column | str, pattern: str, change: Callable[[Column], Colu
     return splice(text, pattern, F.transform(tokens(text, pattern), change))
 
 
+def totals_before(values: Column, join: Callable[[Column, Column], Column], zero: int = 0) -> Column:
+    """For each number of an array, what ``join`` makes of all numbers before it.
+
+    Worked out in blocks: a growing array is copied with each step, so one fold over a long
+    list would cost its square.
+    """
+    def inside(block: Column) -> Column:
+        start = F.struct(F.lit(zero).alias("now"), F.array().cast("array<int>").alias("seen"))
+        return F.aggregate(block, start, lambda acc, x: F.struct(
+            join(acc["now"], x).alias("now"), F.concat(acc["seen"], F.array(acc["now"])).alias("seen")), lambda acc: acc["seen"])
+
+    def whole(block: Column) -> Column:
+        return F.aggregate(block, F.lit(zero), join)
+
+    size = 128
+    cut = F.when(F.size(values) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / size).cast("int")),
+        lambda b: F.slice(values, b * size + 1, F.lit(size)))).otherwise(F.array().cast("array<array<int>>"))
+    return bind(cut, lambda blocks: F.flatten(F.zip_with(
+        F.transform(blocks, inside), inside(F.transform(blocks, whole)),
+        lambda block, first: F.transform(block, lambda x: join(first, x)))))
+
+
 def regex_quote(literal: str) -> str:
     """A Java regex that matches ``literal`` exactly."""
     return "".join("\\" + ch if ch in r"\.[]{}()*+-?^$|/&~#" else ch for ch in literal)

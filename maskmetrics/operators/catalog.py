@@ -17,11 +17,16 @@ MEASURE_LINE = r"(?i)^\s*measure\s+(?:'([^']+)'|(\S+))"
 DIMENSION_PREFIX = r"(?i)^(BI_|Dim_)"
 
 
-def decode_parts(parts: DataFrame) -> DataFrame:
-    """(.., path, text): parts of type InlineBase64; what cannot be decoded is left out."""
+def decode_parts(parts: DataFrame, strict: bool = True) -> DataFrame:
+    """(.., path, text): parts of type InlineBase64; what is no base64 is left out.
+
+    Listings and searches are ``strict``: a part with bytes that are no UTF-8 is left out.
+    A column scan is not: it drops those bytes and reads the rest.
+    """
     # Characters outside the alphabet are ignored, as base64 decoders commonly do.
     clean = F.regexp_replace("payload", r"[^A-Za-z0-9+/=]", "")
-    text = F.try_validate_utf8(F.try_to_binary(clean, F.lit("base64")).cast("string"))
+    raw = F.try_to_binary(clean, F.lit("base64")).cast("string")
+    text = F.try_validate_utf8(raw) if strict else F.replace(F.make_valid_utf8(raw), F.lit("\ufffd"), F.lit(""))
     keep = [c for c in parts.columns if c not in ("payload", "payload_type")]
     return (parts.where((F.col("payload_type") == INLINE) & (F.col("payload") != ""))
             .select(*keep, text.alias("text")).where(F.col("text").isNotNull()))
@@ -86,11 +91,11 @@ def coverage_missing(sensitive: Sequence[SensitiveColumn]) -> bool:
 
 
 def search_with_context(docs: DataFrame, key: str, text: str, term: str, context: int = 25,
-                        limit: int = 10) -> DataFrame:
+                        limit: int | None = None) -> DataFrame:
     """Lines that hold ``term`` (any case), each with ``context`` lines around it.
 
-    A hit closer than twice the context to the last kept hit is dropped. The first
-    ``limit`` hits of a document are returned, ``found`` counts all kept ones. Everything
+    A hit closer than twice the context to the last kept hit is dropped. All others are
+    returned, or the first ``limit`` of a document; ``found`` counts them all. Everything
     happens inside the document's row: no shuffle, and rows without the term are dropped
     before their lines are split.
     """
@@ -103,7 +108,7 @@ def search_with_context(docs: DataFrame, key: str, text: str, term: str, context
     per_doc = docs.where(F.contains(F.lower(F.col(text)), needle)) \
         .select(key, F.split(text, "\n").alias("_lines")).withColumn("_kept", kept)
     shown = per_doc.select(key, "_lines", F.size("_kept").alias("found"),
-                           F.posexplode(F.slice("_kept", 1, limit)).alias("no", "line_number"))
+                           F.posexplode("_kept" if limit is None else F.slice("_kept", 1, limit)).alias("no", "line_number"))
     first = F.greatest(F.col("line_number") - context, F.lit(1))
     around = F.slice("_lines", first, F.col("line_number") + context - first + 1)
     return shown.select(key, (F.col("no") + 1).alias("match_no"), "line_number", "found",

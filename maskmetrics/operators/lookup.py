@@ -14,7 +14,7 @@ from maskmetrics.session import ship
 # What may be copied to every executor: rows and characters of the dictionary.
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 16_000_000
-SALTS = 16
+LEAST_SALTS = 8
 
 
 @dataclass(frozen=True)
@@ -47,12 +47,16 @@ def spread_of(df: DataFrame) -> Column:
 
 
 def salted_join(rows: DataFrame, dictionary: DataFrame, keys: list[str], spread: Column,
-                how: str = "left", salts: int = SALTS) -> DataFrame:
+                how: str = "left", salts: int | None = None) -> DataFrame:
     """Join on ``keys`` so that one hot key is shared out over ``salts`` tasks.
 
-    ``dictionary`` is unique on ``keys`` and is copied once per salt; rows pick their
-    salt from ``spread``.
+    ``dictionary`` is copied once per salt; rows pick their salt from ``spread``. There are
+    about as many salts as the square root of the shuffle partitions, eight at least: a key
+    with all rows then fills that many tasks, and adaptive execution splits those further.
     """
+    if salts is None:
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(LEAST_SALTS, round(partitions ** 0.5))
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = dictionary.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

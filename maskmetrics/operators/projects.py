@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from maskmetrics.functions.text import contains_ci
 from maskmetrics.operators.shapes import with_group_value
+from maskmetrics.session import settle
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:
@@ -36,8 +37,9 @@ def budget_use(entries: DataFrame, project: str, actual: str, budget: str, date:
 def phase_summary(entries: DataFrame, phase: str, actual: str, budget: str,
                   total_label: str = "Total") -> DataFrame:
     """Budget, spent, remaining and use per phase, with a grand total row."""
-    sums = entries.rollup(phase).agg(F.sum(budget).alias("b"), F.sum(actual).alias("s"),
-                                     F.grouping_id().alias("g"))
+    # The grand total is made from the few rows per phase, not from the entries again.
+    per_phase = entries.groupBy(phase).agg(F.sum(budget).alias("b"), F.sum(actual).alias("s"))
+    sums = per_phase.rollup(phase).agg(F.sum("b").alias("b"), F.sum("s").alias("s"), F.grouping_id().alias("g"))
     return sums.select(
         F.when(F.col("g") == 1, F.lit(total_label)).otherwise(F.col(phase)).alias("phase"),
         (F.col("g") == 1).alias("is_total"), F.col("b").cast("double").alias("budget"),
@@ -101,8 +103,9 @@ def traffic_lights(projects: DataFrame, schedule: Column, budget: Column, margin
 
 def resource_shares(entries: DataFrame, resource: str, hours: str, rate: str) -> DataFrame:
     """Hours, estimated cost and share of all hours."""
-    total = entries.agg(F.sum(hours).cast("double").alias("total")).scalar()
-    sums = entries.groupBy(resource).agg(F.sum(hours).alias("h"))
+    # Written once: the total sums the grouped sums, so the entries are read a single time.
+    sums = settle(entries.groupBy(resource).agg(F.sum(hours).alias("h")), "hours")
+    total = sums.agg(F.sum("h").cast("double").alias("total")).scalar()
     h = F.col("h").cast("double")
     return sums.select(resource, h.alias("hours"),
                        (F.col("h") * F.lit(rate).cast("decimal(6,2)")).cast("double").alias("est_cost"),
@@ -153,8 +156,8 @@ def quarter_over_quarter(df: DataFrame, entity: str, date: str, **measures: Colu
 
 def shares(df: DataFrame, by: str, count: str = "n", share: str = "share") -> DataFrame:
     """Rows per value and their share of all rows."""
-    total = df.agg(F.count("*").alias("total")).scalar()
-    counts = df.groupBy(by).agg(F.count("*").alias(count))
+    counts = settle(df.groupBy(by).agg(F.count("*").alias(count)), "counts")
+    total = counts.agg(F.sum(count).alias("total")).scalar()
     return counts.withColumn(share, F.try_divide(F.col(count).cast("double"), total.cast("double")))
 
 

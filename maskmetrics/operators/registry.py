@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from maskmetrics.functions.text import default_alias, normalize, strip
 from maskmetrics.operators.lookup import Size, lookup_join, spread_of
-from maskmetrics.operators.ordering import dense_index
+from maskmetrics.operators.ordering import Indexed, dense_index
 
 
 @dataclass(frozen=True)
@@ -99,11 +99,8 @@ def build_registry(spark: SparkSession, sensitive: Sequence[SensitiveColumn],
     return Registry(df, Size(numbered.rows, numbered.chars), tuple(warnings))
 
 
-def register_dynamic(registry: Registry, names: DataFrame, column: str,
-                     category: str) -> Registry:
-    """Add new values after the existing ones; known values keep their alias."""
-    if not registry.enabled:
-        return registry
+def new_entries(registry: Registry, names: DataFrame, column: str, category: str) -> Indexed:
+    """The entries, in the columns of a registry, for values that it does not know yet."""
     _check_category(category)
     seen = distinct_values(names, column).select("value", normalize("value").alias("norm"))
     fresh = (seen.groupBy("norm").agg(F.min("value").alias("value"))
@@ -115,8 +112,20 @@ def register_dynamic(registry: Registry, names: DataFrame, column: str,
         F.lit(category).alias("category"), "norm",
         default_alias(F.lit(category), F.col("idx") + used).alias("alias"), "value",
         (F.col("ordinal") + registry.size.rows).alias("ordinal"))
-    size = Size(registry.size.rows + numbered.rows, registry.size.chars + numbered.chars)
-    return replace(registry, df=registry.df.unionByName(added), size=size)
+    return Indexed(added, numbered.rows, numbered.chars)
+
+
+def extended(registry: Registry, new: Indexed) -> Registry:
+    size = Size(registry.size.rows + new.rows, registry.size.chars + new.chars)
+    return replace(registry, df=registry.df.unionByName(new.df), size=size)
+
+
+def register_dynamic(registry: Registry, names: DataFrame, column: str,
+                     category: str) -> Registry:
+    """Add new values after the existing ones; known values keep their alias."""
+    if not registry.enabled:
+        return registry
+    return extended(registry, new_entries(registry, names, column, category))
 
 
 def match_order(registry: Registry) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from maskmetrics.operators.lookup import lookup_join, measure, spread_of
-from maskmetrics.operators.ordering import running, running_dense_rank, running_rank, running_sum
+from maskmetrics.operators.ordering import running, running_dense_rank, running_sum
 from maskmetrics.session import settle
 
 
@@ -45,16 +45,34 @@ def scaled_to_largest(df: DataFrame, group: str, value: str, out: str = "width")
     return top.withColumn(out, width).drop("_max")
 
 
+def _back_to_rows(df: DataFrame, per_value: DataFrame, keys: Sequence[str], *out: str) -> DataFrame:
+    """Give each row what was worked out for its value; nulls meet nulls."""
+    same = F.lit(True)
+    named = per_value.select(*(F.col(k).alias(f"_{i}_key") for i, k in enumerate(keys)), *out)
+    for i, k in enumerate(keys):
+        same = same & df[k].eqNullSafe(named[f"_{i}_key"])
+    return df.join(named, same).select(*df.columns, *out)
+
+
 def ranked_within(df: DataFrame, within: Sequence[str], by: str, out: str = "rank",
                   dense_out: str = "dense_rank") -> DataFrame:
-    """Rank and dense rank by ``by`` descending inside each group."""
-    return running(df, within, F.desc(by), **{out: running_rank(), dense_out: running_dense_rank(by)})
+    """Rank and dense rank by ``by`` descending inside each group.
+
+    Equal values are counted first, so a value that very many rows share is one row of the
+    windows.
+    """
+    per_value = df.groupBy(*within, by).agg(F.count("*").alias("_n"))
+    ranked = running(per_value, within, F.desc(by), _upto=running_sum("_n"), **{dense_out: running_dense_rank(by)})
+    ranked = ranked.withColumn(out, F.col("_upto") - F.col("_n") + 1)
+    return _back_to_rows(df, ranked, [*within, by], out, dense_out)
 
 
 def running_to_here(df: DataFrame, within: Sequence[str], order: str, value: str,
                     out: str = "so_far") -> DataFrame:
     """Sum over the rows of the group whose ``order`` is not larger than this row's."""
-    return running(df, within, F.asc(order), **{out: running_sum(value)})
+    per_value = df.groupBy(*within, order).agg(F.sum(value).alias("_sum"))
+    summed = running(per_value, within, F.asc(order), **{out: running_sum("_sum")})
+    return _back_to_rows(df, summed, [*within, order], out)
 
 
 def year_to_date(df: DataFrame, key: Sequence[str], date: str, value: str,

@@ -173,14 +173,15 @@ def derivable_claims(claims: DataFrame, totals: DataFrame) -> DataFrame:
     """
     asked = claims.select("query_id", "value", "decimals").distinct()
     unit = at_precision(F.col("value"), F.col("decimals"))
-    with_total = asked.join(totals.withColumnRenamed("col", "_col"), "query_id")
+    # A query that very many reports quote is one key: its claims are dealt over copies of its totals.
+    with_total = salted_join(asked, totals.withColumnRenamed("col", "_col"), ["query_id"], F.struct("value", "decimals"), "inner")
     scale = F.pow(F.lit(10.0), F.col("decimals"))
     direct = with_total.where(at_precision(F.col("total"), F.col("decimals")) == unit)
     near = F.explode(F.array(*(F.floor((F.col("total") + side * F.col("value")) * scale) + step
                                for side in (-1, 1) for step in (-1, 0, 1))))
     probes = with_total.select("query_id", "value", "decimals", "total", "_col", near.alias("_slot"))
     precisions = asked.select("query_id", "decimals").distinct()
-    slots = totals.join(precisions, "query_id").select(
+    slots = salted_join(totals, precisions, ["query_id"], F.col("col"), "inner").select(
         "query_id", "decimals", F.col("col").alias("_other"), F.col("total").alias("_total"),
         F.floor(F.col("total") * scale).alias("_slot"))
     pairs = probes.join(slots, ["query_id", "decimals", "_slot"]).where(
@@ -202,12 +203,14 @@ def claim_rows(panels: DataFrame, key: list[str]) -> DataFrame:
 
 
 def verify(panels: DataFrame, results: DataFrame, errors: DataFrame, key: list[str],
-           strict_percent: bool = False) -> DataFrame:
+           strict_percent: bool = False, shown_values: int = 12) -> DataFrame:
     """PASS, FAIL or ERROR per panel.
 
     ``panels`` has ``key`` columns, query_id, section, family and expected (claims); other
     columns are carried along. A claim that is missing fails its panel, unless it is
-    derivable; an unmatched percentage counts as derived unless ``strict_percent``.
+    derivable; an unmatched percentage counts as derived unless ``strict_percent``. The
+    message of a failed panel shows the first ``shown_values`` values of its query; the
+    verdict rests on all of them.
     """
     # Panels come out of parsed HTML and results out of queries: both are needed several
     # times below and must not be computed again.
@@ -215,7 +218,8 @@ def verify(panels: DataFrame, results: DataFrame, errors: DataFrame, key: list[s
     claims = claim_rows(panels, key)
     flagged = settle(matched_claims(claims, results), "claims")
     open_claims = flagged.where(~F.col("matched") & ~F.col("is_percent"))
-    totals = column_totals(results.join(open_claims.select("query_id").distinct(), "query_id", "left_semi"))
+    # Summed first: partial sums leave one row per column, however large a result is.
+    totals = column_totals(results).join(open_claims.select("query_id").distinct(), "query_id", "left_semi")
     derivable = derivable_claims(open_claims, totals).withColumn("_derivable", F.lit(True))
     judged = flagged.join(derivable, ["query_id", "value", "decimals"], "left")
     free_percent = F.lit(False) if strict_percent else F.col("is_percent")
@@ -234,16 +238,20 @@ def verify(panels: DataFrame, results: DataFrame, errors: DataFrame, key: list[s
                                  texts_of("missing").alias("_missing"), texts_of("derived").alias("_derived"),
                                  F.size(texts_of("matched")).alias("_checked"))
     failing = panels.join(per_panel.where(F.size("_missing") > 0), key, "left_semi").select("query_id").distinct()
-    shown = _first_values(results.join(failing, "query_id", "left_semi"))
+    # Cut to the values that can be shown before they meet the failing queries.
+    shown = _first_values(results, shown_values).join(failing, "query_id", "left_semi")
     messages = errors.groupBy("query_id").agg(F.min("message").alias("_error"))
-    joined = panels.join(per_panel, key, "left").join(messages, "query_id", "left").join(shown, "query_id", "left")
+    notes = messages.join(shown, "query_id", "full")
+    joined = salted_join(panels.join(per_panel, key, "left"), notes, ["query_id"], F.struct(*key))
     error, missing = F.col("_error").isNotNull(), F.size(F.coalesce("_missing", F.array())) > 0
     none = F.size("expected") == 0
     empty = F.array().cast("array<string>")
+    # The texts of messages.
     counted = F.concat(F.col("_checked").cast("string"), F.lit(" value(s) match"), F.when(
         F.size("_derived") > 0, F.concat(
             F.lit("; "), F.size("_derived").cast("string"), F.lit(" derived, not directly queryable ("),
             F.array_join("_derived", ", "), F.lit(")"))).otherwise(""))
+    # The texts of messages.
     failed = F.concat(F.lit("expected "), F.array_join("_missing", ", "), F.lit(" not in returned values ["),
                       F.coalesce(F.col("_shown"), F.lit("")), F.lit("]"))
     carried = [c for c in panels.columns if c != "expected"]
@@ -257,7 +265,7 @@ def verify(panels: DataFrame, results: DataFrame, errors: DataFrame, key: list[s
         F.when(~error, F.coalesce("_derived", empty)).alias("derived"))
 
 
-def _first_values(results: DataFrame, n: int = 12) -> DataFrame:
+def _first_values(results: DataFrame, n: int) -> DataFrame:
     """The first values of a result as text, for the message of a failed panel. Spark
     keeps at most ``n`` rows per query and partition before the shuffle."""
     order = Window.partitionBy("query_id").orderBy("row_no", "col_no")

@@ -42,6 +42,9 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the session; a local one only where none is named."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,9 +52,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="maskmetrics-scratch-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="maskmetrics-scratch-")
+    return _local_roots[app]
 
 
 def settle(df: DataFrame, label: str = "table") -> DataFrame:
@@ -69,16 +73,11 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
 def spread_small(df: DataFrame) -> DataFrame:
     """Spread a small input over the cores before work that is heavy per row.
 
-    One small file is one task, however many cores wait. Inputs of many files, or too
-    large for one default split per core, are left as they are.
+    One small file is one task, however many cores wait. The planner's own estimate of the
+    size decides, so no file is listed; from one default split per core on, the input is
+    left as it is.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not 0 < len(files) < cores:
-        return df
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    paths = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f) for f in files)
-    size = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     split = 128 * 1024 * 1024
-    return df.repartition(cores) if size < cores * split else df
+    return df.repartition(cores) if 0 < size < cores * split else df

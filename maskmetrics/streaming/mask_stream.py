@@ -8,29 +8,31 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from maskmetrics.operators.lookup import measure
+from maskmetrics.operators.lookup import Size, measure
 from maskmetrics.operators.masking import mask_table
 from maskmetrics.operators.ordering import dense_index
 from maskmetrics.operators.pii import TokenTable, detect_pii, explode_spans, replace_spans, value_key
-from maskmetrics.operators.registry import Registry, register_dynamic
+from maskmetrics.operators.registry import Registry, extended, new_entries
 from maskmetrics.session import settle
 
 
-def _read(spark, path: str, schema: str | None = None) -> DataFrame:
-    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+def _read(spark, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
 
 
 TOKEN_SCHEMA = "alias string, value string, entity_type string, n long, norm string, sightings long"
 REGISTRY_SCHEMA = "category string, norm string, alias string, value string, ordinal long"
+SIZE_SCHEMA = "rows long, chars long"
 
 
 @dataclass
 class StreamMasker:
-    """State of a masked stream: one generation of dictionary and tokens per batch.
+    """State of a masked stream: what each batch adds to dictionary and tokens.
 
-    Generation ``b`` is written to its own folder before batch ``b`` is, and is built from
-    the generation before it. Replaying a batch after a failure overwrites its own folders
-    with the same content, so every batch takes effect once.
+    Batch ``b`` writes only its new entries, under ``batch_id=b``, before its rows, and reads
+    those of the batches before it. Replaying a batch after a failure overwrites its own
+    folders with the same content, so every batch takes effect once, and the state is as
+    large as what was learned.
     """
 
     registry: Registry
@@ -39,19 +41,36 @@ class StreamMasker:
     pii_column: str | None = None
     key: str | None = None                         # orders rows for token numbering
 
-    def _generation(self, batch: int) -> tuple[str, str]:
-        return f"{self.target}/registry/batch_id={batch}", f"{self.target}/tokens/batch_id={batch}"
+    def _part(self, name: str, batch: int) -> str:
+        return f"{self.target}/{name}/batch_id={batch}"
 
-    def _previous(self, spark, batch: int) -> tuple[Registry, DataFrame]:
+    def _before(self, spark, name: str, batch: int, schema: str) -> DataFrame:
+        """The entries of all batches before ``batch``; partition pruning leaves out later ones."""
         if batch == 0:
-            return self.registry, spark.createDataFrame([], TOKEN_SCHEMA)
-        registry_path, tokens_path = self._generation(batch - 1)
-        entries = _read(spark, registry_path, REGISTRY_SCHEMA)
-        size = measure(entries, "value")
-        return replace(self.registry, df=entries, size=size), _read(spark, tokens_path, TOKEN_SCHEMA)
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(f"{schema}, batch_id long").parquet(f"{self.target}/{name}") \
+            .where(F.col("batch_id") < batch).drop("batch_id")
+
+    def _learn(self, spark, rows: DataFrame, batch: int) -> Registry:
+        """The dictionary with the names of this batch, which are written."""
+        # One row per batch: the sizes are carried along instead of measured anew.
+        grown = self._before(spark, "sizes", batch, SIZE_SCHEMA).agg(F.sum("rows"), F.sum("chars")).first()
+        size = Size(self.registry.size.rows + (grown[0] or 0), self.registry.size.chars + (grown[1] or 0))
+        known = self.registry.df.unionByName(self._before(spark, "registry", batch, REGISTRY_SCHEMA))
+        first = registry = replace(self.registry, df=known, size=size)
+        added = None
+        for column, category in self.names:
+            new = new_entries(registry, rows, column, category)
+            registry = extended(registry, new)
+            added = new.df if added is None else added.unionByName(new.df)
+        path = self._part("registry", batch)
+        (spark.createDataFrame([], REGISTRY_SCHEMA) if added is None else added).write.mode("overwrite").parquet(path)
+        spark.createDataFrame([(registry.size.rows - size.rows, registry.size.chars - size.chars)], SIZE_SCHEMA) \
+            .write.mode("overwrite").parquet(self._part("sizes", batch))
+        return replace(first, df=known.unionByName(_read(spark, path, REGISTRY_SCHEMA)), size=registry.size)
 
     def _more_tokens(self, known: DataFrame, detected: DataFrame) -> DataFrame:
-        """Tokens of values seen for the first time, numbered after those of their type."""
+        """Only the tokens of values seen for the first time, numbered after those of their type."""
         first = explode_spans(detected, F.col(self.key).alias("doc")).select(
             value_key(F.col("s.text")).alias("norm"), "s.entity_type", "s.text", "doc",
             (-F.col("s.start")).alias("back")).groupBy("norm").agg(
@@ -65,25 +84,20 @@ class StreamMasker:
         n = F.coalesce("used", F.lit(0)) + F.col("i") + 1
         added = numbered.join(F.broadcast(used), "entity_type", "left").withColumn("n", n.cast("long"))
         alias = F.concat(F.lit("<"), "entity_type", F.lit("_"), F.col("n").cast("string"), F.lit(">"))
-        return known.unionByName(added.select(alias.alias("alias"), "value", "entity_type", "n", "norm", "sightings"))
+        return added.select(alias.alias("alias"), "value", "entity_type", "n", "norm", "sightings")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = settle(batch, "batch")
-        registry, tokens = self._previous(spark, batch_id)
-        for column, category in self.names:
-            registry = register_dynamic(registry, rows, column, category)
-        registry_path, tokens_path = self._generation(batch_id)
-        registry.df.write.mode("overwrite").parquet(registry_path)
-        registry = replace(registry, df=_read(spark, registry_path, REGISTRY_SCHEMA))
+        registry = self._learn(spark, rows, batch_id)
         masked = mask_table(rows, registry)
         if self.pii_column is not None:
-            detected = detect_pii(masked, self.pii_column)
-            self._more_tokens(tokens, detected).write.mode("overwrite").parquet(tokens_path)
-            tokens = _read(spark, tokens_path, TOKEN_SCHEMA)
+            detected = settle(detect_pii(masked, self.pii_column), "detected")
+            known = self._before(spark, "tokens", batch_id, TOKEN_SCHEMA)
+            path = self._part("tokens", batch_id)
+            self._more_tokens(known, detected).write.mode("overwrite").parquet(path)
+            tokens = known.unionByName(_read(spark, path, TOKEN_SCHEMA))
             masked = replace_spans(detected, self.pii_column, TokenTable(tokens, measure(tokens, "alias", "value")))
-        else:
-            tokens.write.mode("overwrite").parquet(tokens_path)
         masked.write.mode("overwrite").parquet(f"{self.target}/rows/batch_id={batch_id}")
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:

@@ -1,6 +1,8 @@
 import random
 import re
 
+import regex
+
 from pyspark.sql import functions as F
 
 from maskmetrics.functions.pii_rules import PATTERN_DETECTORS, is_false_positive, luhn_valid, iban_valid
@@ -56,7 +58,7 @@ def test_spans_agree_with_python_on_random_texts(spark):
         got = {r["id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in detect_pii(df, "t", [detector]).collect()}
         for i, t in enumerate(texts):
             # Java's word boundary sees letters of any script, like Python's.
-            assert got[i] == [m.span() for m in re.finditer(detector.pattern, t)], (detector.entity_type, t)
+            assert got[i] == [m.span() for m in regex.finditer(detector.pattern, t)], (detector.entity_type, t)
 
 
 def test_tokens_are_shared_and_numbered_from_the_right(spark):
@@ -103,3 +105,40 @@ def test_anonymize_switches(spark, registry_of):
     assert anonymize(df, "t", "id", r).df.first()["t"] == "Client_A <EMAIL_ADDRESS_1>"
     assert anonymize(df, "t", "id", r, pass2=False).df.first()["t"] == "Client_A a@b.com"
     assert anonymize(df, "t", "id", r.disabled()).df.first()["t"] == "Acme a@b.com"
+
+
+def test_one_unreadable_text_loses_only_its_own_spans(spark):
+    def find(texts):
+        if any("bad" in t for t in texts):
+            raise ValueError("cannot read")
+        return [[(0, 4, "PERSON", 0.9)] for _ in texts]
+
+    df = spark.createDataFrame([(1, "Jane went"), (2, "bad a@b.example"), (3, "Jill left")], "id int, t string").coalesce(1)
+    plugin = PluginDetector("names", find)
+    got = detect_pii(df, "t", plugin=plugin, errors="error").orderBy("id").collect()
+    assert [[s["text"] for s in r["spans"]] for r in got] == [["Jane"], ["a@b.example"], ["Jill"]]
+    assert [r["error"] for r in got] == [None, "ValueError: cannot read", None]
+    assert plugin.state() == "failed" and "cannot read" in plugin.status_line()
+
+
+FOUND = [("NL91 ABNA 0417 1643 00", "IBAN_CODE"), ("+31 6 12345678", "PHONE_NUMBER"), ("06-12345678", "PHONE_NUMBER"),
+         ("2001:db8::ff00:42:8329", "IP_ADDRESS"), ("josé@x.nl", "EMAIL_ADDRESS"), ("FX1234563", "MEDICAL_LICENSE"),
+         ("1:2:3:4:5:6:7:8", "IP_ADDRESS")]
+
+
+def test_further_shapes(spark):
+    df = spark.createDataFrame([(i, f"at {t}, then") for i, (t, _) in enumerate(FOUND)] + [(90, "NL92 ABNA 0417 1643 00 FX1234564 12:30:45 a::")],
+                               "id int, t string")
+    got = {r["id"]: [(s["text"], s["entity_type"]) for s in r["spans"]] for r in detect_pii(df, "t").collect()}
+    assert [got[i] for i in range(len(FOUND))] == [[f] for f in FOUND] and got[90] == []
+
+
+def test_very_many_values_in_one_text(spark):
+    n = 5000
+    text = " é ".join(f"u{i}@mail.example" for i in range(n))
+    df = spark.createDataFrame([(1, text)], "id long, t string")
+    found = detect_pii(df, "t")
+    spans = found.first()["spans"]
+    assert len(spans) == n and all(text[s["start"]:s["end"]] == s["text"] for s in spans)
+    done = replace_spans(found, "t", assign_tokens(found, "id")).first()["t"]
+    assert done == " é ".join(f"<EMAIL_ADDRESS_{n - i}>" for i in range(n))
