@@ -130,7 +130,8 @@ def _cell_table(df: DataFrame, labels: DataFrame, key: str, text: str, label: st
     chosen = settle(labelled_keys(labels, key, label, None, MOST_LABELS), "labels")
     # At most MOST_LABELS keys.
     rows = df.select(F.col(key).alias("key"), text).join(F.broadcast(chosen), "key")
-    stats = settle(with_counts(rows, text).select(
+    # What the base counts reject needs no rule.
+    stats = settle(with_counts(rows, text).where(~base_failed()).select(
         (F.col("label") == 0).alias("bad"), "counts.least_gram", "counts.last_gram",
         *(m.alias(name) for name, m in measures().items())), "measures")
     firsts, lasts = (stats.groupBy(c).agg(F.count("*").alias(f"{c}_n")) for c in ("least_gram", "last_gram"))
@@ -157,7 +158,7 @@ def _cell_table(df: DataFrame, labels: DataFrame, key: str, text: str, label: st
 
 def learn_rules(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
                 label: str = "quality") -> list[Rule]:
-    """Rules for rows with label 0, by sequential covering; [] where nothing can be learned.
+    """Rules for rows with label 0 that the base counts keep; [] where nothing can be learned.
 
     One rule after the other is grown on two thirds of the labelled rows: of all measures and
     cuts the test with the highest information gain is added while it helps. The rule is then
