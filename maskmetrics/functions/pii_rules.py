@@ -107,9 +107,9 @@ PATTERN_DETECTORS = (
     PatternDetector("IBAN_CODE", r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b", 1.0,
                     hint=_DIGITS + r"|[A-Z]{2}\d{2} ", valid=iban_valid),
     PatternDetector("IP_ADDRESS", rf"\b(?:{_OCTET}\.){{3}}{_OCTET}\b", 0.95, hint=_DIGITS),
-    PatternDetector("IP_ADDRESS", rf"(?<![\w:])(?:(?:{_PIECE}:){{7}}{_PIECE}|(?:{_PIECE}(?::{_PIECE}){{0,5}})?::"
-                                  rf"(?:{_PIECE}(?::{_PIECE}){{0,5}}))(?![\w:])", 0.95,
-                    hint=f"::[0-9A-Fa-f]|(?:{_PIECE}:){{7}}"),
+    # All eight groups, or three at least around the gap.
+    PatternDetector("IP_ADDRESS", rf"\b(?:(?:{_PIECE}:){{7}}{_PIECE}|{_PIECE}(?::{_PIECE}){{1,5}}::{_PIECE}(?::{_PIECE}){{0,4}}"
+                                  rf"|{_PIECE}::{_PIECE}(?::{_PIECE}){{1,5}})\b", 0.95, hint=f"::[0-9A-Fa-f]|(?:{_PIECE}:){{7}}"),
     PatternDetector("US_SSN", r"\b\d{3}-\d{2}-\d{4}\b", 0.85, hint=_DIGITS),
     PatternDetector("URL", r"\b(?:https?://|www\.)[^\s<>\"']+", 0.8, ("://", "www.")),
     PatternDetector("PHONE_NUMBER",

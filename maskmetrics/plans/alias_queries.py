@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from maskmetrics.functions.text import default_alias
 from maskmetrics.operators.masking import mask_json, mask_nested, mask_table, mask_text
 from maskmetrics.operators.registry import (
     Registry, SensitiveColumn, alias_value, build_registry, category_counts, distinct_values, get_mapping,
@@ -17,6 +18,7 @@ from maskmetrics.plans.facts import contact, table
 from maskmetrics.plans.registered import query
 from maskmetrics.session import scratch_root
 from maskmetrics.sources.mapping_store import MappingStore, mapping_from_json
+from maskmetrics.sources.reports import restore_files
 
 # --- the dictionary of the service desk, in both languages --------------------------
 
@@ -374,3 +376,55 @@ def mapping_read_from_json(spark: SparkSession, d: str) -> DataFrame:
     text = F.when(F.col("c_custkey") % 2 == 0, F.to_json(one)) \
         .otherwise(F.to_json(F.struct(one.alias("mappings"), F.lit("x").alias("session_id"))))
     return mapping_from_json(table(spark, d, "customer").select(text.alias("json")), "json")
+
+
+# --- one matching rule, whatever the size of the dictionary ----------------------------
+
+# A word in two spellings that only simple case folding makes equal.
+_SPELLED, _WRITTEN = "\u0130stan\u03a3bul\u212a", "\u0131\u017fTAN\u03c2bulk"
+_FOREIGN = ("WITH lands AS (SELECT n_nationkey AS k, 'Nation_' || row_number() OVER (ORDER BY lower(n_name)) AS alias FROM nation) "
+            "SELECT c_custkey, 'at ' || alias || '; ' || alias || '.x (' || alias || ') x\u0131\u017fTAN' AS text FROM customer JOIN lands ON k = c_nationkey")
+
+
+def _foreign_texts(spark: SparkSession, d: str, plan: str) -> DataFrame:
+    nation = table(spark, d, "nation").withColumnRenamed("n_nationkey", "c_nationkey") \
+        .withColumn("name", F.concat(F.lit(_SPELLED + " "), "n_name"))
+    registry = build_registry(spark, [SensitiveColumn("nation", "nation", "name")], {"nation": nation})
+    written = F.concat(F.lit(_WRITTEN + " "), F.lower("n_name"))
+    text = F.concat(F.lit("at "), written, F.lit("; "), "name", F.lit(".x ("), F.upper("name"), F.lit(") x\u0131\u017fTAN"))
+    rows = table(spark, d, "customer").join(nation, "c_nationkey").select("c_custkey", text.alias("text"))
+    return mask_text(rows, "text", registry, plan)
+
+
+@query(_FOREIGN)
+def masked_foreign_texts_small(spark: SparkSession, d: str) -> DataFrame:
+    """Letters whose case depends on language or place, in JVM regex replacements."""
+    return _foreign_texts(spark, d, "small")
+
+
+@query(_FOREIGN)
+def masked_foreign_texts_medium(spark: SparkSession, d: str) -> DataFrame:
+    """The same texts and values with the broadcast dictionary."""
+    return _foreign_texts(spark, d, "medium")
+
+
+@query(_FOREIGN)
+def masked_foreign_texts_large(spark: SparkSession, d: str) -> DataFrame:
+    """The same texts and values with the joined dictionary."""
+    return _foreign_texts(spark, d, "large")
+
+
+# --- files ----------------------------------------------------------------------------
+
+@query(f"WITH {ALIASES}, sums AS (SELECT c_nationkey AS k, COUNT(*) AS n FROM customer GROUP BY 1) "
+       "SELECT '<p>_' || value || '_ and QBR_' || value || '.html: ' || n || '</p>' AS html FROM sums JOIN clients ON rn = k + 1")
+def restored_report_files(spark: SparkSession, d: str) -> DataFrame:
+    """A folder with one masked report per nation, restored into another folder."""
+    run = f"{scratch_root(spark)}/maskmetrics/report-files-{uuid.uuid4().hex}"
+    alias = default_alias(F.lit("client"), F.col("c_nationkey"))
+    html = F.concat(F.lit("<p>_"), alias, F.lit("_ and QBR_"), alias, F.lit(".html: "), F.col("n").cast("string"), F.lit("</p>"))
+    sums = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    sums.select("c_nationkey", html.alias("value")).write.partitionBy("c_nationkey").text(f"{run}/in")
+    restore_files(spark, f"{run}/in/*", get_mapping(desk_registry(spark, d)), f"{run}/out")
+    # A text file ends with a line break.
+    return spark.read.parquet(f"{run}/out").select(F.rtrim(F.col("html"), F.lit("\n")).alias("html"))

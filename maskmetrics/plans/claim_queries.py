@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from maskmetrics.functions.claims import format_claim, parse_numbers
+from maskmetrics.functions.claims import at_precision, format_claim, parse_numbers
 from maskmetrics.operators.verification import (
     claim_rows, column_totals, derivable_claims, diff_expected, flatten_results, matched_claims, report_panels,
     rewrite_panel_aliases, run_panels, verification_summary, verify)
@@ -12,6 +14,8 @@ from maskmetrics.plans.alias_queries import ALIASES, desk_registry
 from maskmetrics.plans.facts import MONEY, flag, table
 from maskmetrics.plans.registered import query
 from maskmetrics.operators.registry import get_mapping
+from maskmetrics.session import scratch_root
+from maskmetrics.sources.reports import write_verification
 
 KEY = ["report_id", "panel_no", "statement_no"]
 
@@ -187,13 +191,17 @@ def verification_totals(spark: SparkSession, d: str) -> DataFrame:
     return verification_summary(verify(report_claims(spark, d), panel_results(spark, d), panel_errors(spark, d), KEY))
 
 
-@query(f"""WITH {ALIASES}, {_SUMS} SELECT report_id, 'EVALUATE ROW("n", FILTER(T, T[name] = "' || COALESCE(value_of.value, 'Client_' || (report_id + 27))
+@query(f"""WITH {ALIASES}, {_SUMS} SELECT report_id, 0 AS panel_no, 0 AS statement_no, 'EVALUATE ROW("n", FILTER(T, T[name] = "' || COALESCE(value_of.value, 'Client_' || (report_id + 27))
     || '" && T[age] >= 0))' AS query, CASE WHEN value_of.value IS NULL THEN 0 ELSE 1 END AS aliases_rewritten
-  FROM sums LEFT JOIN clients value_of ON value_of.alias = 'Client_' || (report_id + 27)""")
+  FROM sums LEFT JOIN clients value_of ON value_of.alias = 'Client_' || (report_id + 27)
+  UNION ALL SELECT report_id, 1, 0, '// two statements' || chr(10) || 'EVALUATE ROW("v")', 0 FROM sums
+  UNION ALL SELECT report_id, 1, 1, 'DEFINE VAR x = 1' || chr(10) || 'EVALUATE ROW("m", x)', 0 FROM sums
+  UNION ALL SELECT report_id, 2, 0, 'EVALUATE T', 0 FROM sums""")
 def panels_with_real_names(spark: SparkSession, d: str) -> DataFrame:
     """Alias literals of panel queries are rewritten before the queries run."""
-    panels = report_panels(reports(spark, d)).where("panel_no = 0")
-    return rewrite_panel_aliases(panels, get_mapping(desk_registry(spark, d))).select("report_id", "query", "aliases_rewritten")
+    panels = report_panels(reports(spark, d))
+    return rewrite_panel_aliases(panels, get_mapping(desk_registry(spark, d))).select(
+        "report_id", "panel_no", "statement_no", "query", "aliases_rewritten")
 
 
 @query("SELECT 'orders by status' AS query_id, 'n' AS col, CAST(COUNT(*) AS DOUBLE) AS value FROM orders GROUP BY o_orderstatus "
@@ -205,3 +213,39 @@ def named_query_results(spark: SparkSession, d: str) -> DataFrame:
         "largest part": lambda s: table(s, d, "part").agg(F.max("p_size").alias("size")),
         "broken": lambda s: table(s, d, "part").select("no_such_column")})
     return results.select("query_id", "col", "value")
+
+
+@query(f"WITH {_VERIFIED} SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE status = 'PASS') AS passed, "
+       "COUNT(*) FILTER (WHERE status <> 'PASS') AS failed FROM verified")
+def written_verification(spark: SparkSession, d: str) -> DataFrame:
+    """Verification results as JSON files, and their totals read back."""
+    run = f"{scratch_root(spark)}/maskmetrics/verification-{uuid.uuid4().hex}"
+    write_verification(verify(report_claims(spark, d), panel_results(spark, d), panel_errors(spark, d), KEY), run)
+    return spark.read.schema("total long, passed long, failed long").json(f"{run}/totals")
+
+
+_SPACED = f"""{_SUMS} SELECT report_id, 0 AS claim_no, -CAST(value AS DOUBLE) AS value, 2 AS decimals, false AS is_percent FROM sums
+  UNION ALL SELECT report_id, 1, CAST(resolved AS DOUBLE), 0, true FROM sums UNION ALL SELECT report_id, 2, CAST(n AS DOUBLE), 0, false FROM sums"""
+
+
+@query(f"WITH {_SPACED}")
+def parsed_numbers_with_fixed_spaces(spark: SparkSession, d: str) -> DataFrame:
+    """No-break spaces in amounts, before signs of per cent and in dates."""
+    space = "\u00a0"
+    text = F.concat(F.lit(f"-€{space}"), F.format_number("value", 2), F.lit(" and "), F.col("resolved").cast("string"),
+                    F.lit(f"{space}% on 21{space}Jan{space}2026; "), F.col("n").cast("string"))
+    found = ticket_sums(spark, d).select("report_id", F.posexplode(parse_numbers(text)).alias("claim_no", "c"))
+    return found.select("report_id", "claim_no", "c.value", "c.decimals", "c.is_percent")
+
+
+_TIES = ("SELECT p_partkey, CAST(printf('%.2f', p_partkey / 8.0) AS DOUBLE) AS eighths, "
+         "CAST(printf('%.2f', CAST(p_partkey + 0.005 AS DOUBLE)) AS DOUBLE) AS halves FROM part")
+
+
+@query(_TIES)
+def values_at_shown_precision(spark: SparkSession, d: str) -> DataFrame:
+    """Binary values near and at a half, rounded as their exact value asks."""
+    key = F.col("p_partkey").cast("double")
+    two = F.lit(2)
+    return table(spark, d, "part").select("p_partkey", (at_precision(key / 8, two) / 100).alias("eighths"),
+                                          (at_precision(key + 0.005, two) / 100).alias("halves"))

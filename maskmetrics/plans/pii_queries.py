@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from maskmetrics.functions.pii_rules import PATTERN_DETECTORS, is_false_positive
 from maskmetrics.operators.pii import (
-    anonymize, assign_tokens, detect_pii, explode_spans, full_mapping, pii_summary, replace_spans)
+    PluginDetector, anonymize, assign_tokens, detect_pii, explode_spans, full_mapping, pii_summary, replace_spans)
 from maskmetrics.operators.registry import registry_stats
 from maskmetrics.operators.restoring import restore_text
 from maskmetrics.operators.sessions import anonymize_and_save
@@ -22,6 +22,10 @@ _LUHN = ("list_sum(list_transform(range(1, length(n) + 1), lambda i: CASE WHEN (
          "ELSE (TRY_CAST(n[i] AS INTEGER) * 2) // 10 + (TRY_CAST(n[i] AS INTEGER) * 2) % 10 END)) % 10 = 0")
 
 
+_DEA = ("((CAST(value[3] AS INT) + CAST(value[5] AS INT) + CAST(value[7] AS INT) + 2 * (CAST(value[4] AS INT) + CAST(value[6] AS INT) "
+        "+ CAST(value[8] AS INT))) % 10 = CAST(value[9] AS INT))")
+
+
 def _spans_sql(source: str = "SELECT doc_id, source, text FROM documents") -> str:
     """Spans per pattern from the lengths of matches and gaps; a span that a better one
     overlaps is dropped (no chains of overlaps occur in the data)."""
@@ -40,7 +44,8 @@ def _spans_sql(source: str = "SELECT doc_id, source, text FROM documents") -> st
       CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + COALESCE(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS INTEGER) AS start
     FROM placed),
   valid AS (SELECT *, start + length(value) AS stop, replace(replace(value, ' ', ''), '-', '') AS n FROM spans
-    WHERE (entity_type <> 'CREDIT_CARD' OR (SELECT {_LUHN} FROM (SELECT replace(replace(value, ' ', ''), '-', '') AS n)))),
+    WHERE (entity_type <> 'CREDIT_CARD' OR (SELECT {_LUHN} FROM (SELECT replace(replace(value, ' ', ''), '-', '') AS n)))
+    AND CASE WHEN entity_type = 'MEDICAL_LICENSE' THEN {_DEA} ELSE true END),
   kept AS (SELECT * FROM valid a WHERE NOT EXISTS (SELECT 1 FROM valid b WHERE b.doc_id = a.doc_id AND b.start < a.stop
     AND a.start < b.stop AND (b.score > a.score OR (b.score = a.score AND b.stop - b.start > a.stop - a.start)))),
   firsts AS (SELECT norm, entity_type, value, doc_id, start, row_number() OVER (PARTITION BY entity_type ORDER BY doc_id, start DESC, norm) AS n
@@ -161,3 +166,21 @@ def screened_detections(spark: SparkSession, d: str) -> DataFrame:
     kind = F.when(F.col("o_orderkey") % 2 == 0, "PHONE_NUMBER").otherwise("PERSON")
     rows = table(spark, d, "orders").select(F.explode(items).alias("item"), kind.alias("kind"))
     return rows.select("item", "kind", is_false_positive("item", "kind").alias("false_positive"))
+
+
+def _find_quoted(texts: list[str]) -> list[list[tuple[int, int, str, float]]]:
+    """A plug-in for the query below: names in guillemets; one kind of text breaks it."""
+    import re
+    if any("broken" in t for t in texts):
+        raise ValueError("cannot read this text")
+    return [[(m.start(), m.end(), "PERSON", 0.9) for m in re.finditer("«[^»]+»", t)] for t in texts]
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE 1 END AS persons, CASE WHEN c_custkey % 7 = 0 "
+       "THEN 'ValueError: cannot read this text' END AS error FROM customer")
+def plugin_detections(spark: SparkSession, d: str) -> DataFrame:
+    """A detector outside Spark: a text that it cannot read loses only its own spans."""
+    broken = F.when(F.col("c_custkey") % 7 == 0, " broken").otherwise("")
+    notes = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("by «"), "c_name", F.lit("»"), broken).alias("note"))
+    found = detect_pii(notes, "note", plugin=PluginDetector("quoted", _find_quoted), errors="error")
+    return found.select("c_custkey", F.size("spans").alias("persons"), "error")
