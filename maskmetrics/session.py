@@ -62,11 +62,14 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result no longer depends on how ``df`` is recomputed, survives the loss of
-    executors, and carries real size statistics for the planner.
+    executors, and carries real size statistics for the planner. The table goes when the
+    driver ends in an orderly way.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark).rstrip('/')}/maskmetrics/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
