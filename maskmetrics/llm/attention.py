@@ -7,8 +7,8 @@ import numpy as np
 WINDOW = 64
 STRIDE = 32
 WIDTH = 24
-# Windows that are worked on together.
-TOGETHER = 192
+# Windows that are worked on together: their class scores stay in a core's cache.
+TOGETHER = 32
 
 Params = dict[str, np.ndarray]
 
@@ -52,11 +52,19 @@ def _forward(p: Params, inputs: np.ndarray, skip: int) -> dict[str, np.ndarray]:
     return {"x": x, "asked": asked, "q": q, "k": k, "v": v, "s": s, "a": a, "z": np.tanh(asked @ p["own"] + a @ p["seen"])}
 
 
-def _log_probabilities(p: Params, z: np.ndarray) -> np.ndarray:
-    logits = z @ p["out"] + p["bias"]
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+def _soft(p: Params, z: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log probabilities of the targets; and of all classes e to their logits, with the sums."""
+    logits = z @ p["out"]
+    logits += p["bias"]
+    wanted = logits[np.arange(len(z)), targets]
+    # |z| is below one, so the parameters bound all logits; most often none can overflow.
+    if np.abs(p["bias"]).max() + np.abs(p["out"]).sum(axis=0).max() > 60:
+        top = logits.max(axis=1)
+        logits -= top[:, None]
+        wanted = wanted - top
+    np.exp(logits, out=logits)
+    sums = logits @ np.ones(logits.shape[1], logits.dtype)
+    return wanted - np.log(sums), logits, sums
 
 
 def score(p: Params, targets: np.ndarray, inputs: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -76,8 +84,7 @@ def score(p: Params, targets: np.ndarray, inputs: np.ndarray, counts: np.ndarray
             z = _forward(p, inputs[place], skip)["z"]
             scored = real[:, skip:]
             where = place[:, skip:][scored]
-            logs = _log_probabilities(p, z[scored])
-            out[where] = logs[np.arange(len(where)), targets[where]]
+            out[where] = _soft(p, z[scored], targets[where])[0]
     return out
 
 
@@ -85,13 +92,12 @@ def gradient(p: Params, inputs: np.ndarray, targets: np.ndarray, real: np.ndarra
     """Mean loss over the real places of whole windows, and its gradient."""
     f = _forward(p, inputs, 0)
     z = f["z"][real]
-    logs = _log_probabilities(p, z)
     n = len(z)
     wanted = targets[real]
-    loss = -float(logs[np.arange(n), wanted].mean()) if n else 0.0
-    d = np.exp(logs)
-    d[np.arange(n), wanted] -= 1
-    d /= max(n, 1)
+    logs, d, sums = _soft(p, z, wanted)
+    loss = -float(logs.mean()) if n else 0.0
+    d *= (1 / (sums * max(n, 1)))[:, None]
+    d[np.arange(n), wanted] -= d.dtype.type(1 / max(n, 1))
     g = {"out": z.T @ d, "bias": d.sum(axis=0)}
     dz = np.zeros_like(f["z"])
     dz[real] = (d @ p["out"].T) * (1 - z * z)
