@@ -199,7 +199,7 @@ class TextEncoder:
         self._merger, self._pattern = merger, regex.compile(pattern)
         # A unit is a run between spaces with the space before it, so no match of the
         # pattern reaches over its edges; `_first` holds those at the start of a text.
-        self._spaced = PieceIds(lambda units: self._units(units, " "))
+        self._spaced = PieceIds(lambda units: self._units(units, " "), limit=300_000)
         self._first = PieceIds(lambda units: self._units(units, ""), limit=50_000)
 
     def _units(self, units: list[bytes], lead: str) -> tuple[np.ndarray, np.ndarray]:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from maskmetrics.llm.common import byte_texts, key_remainder, labelled_keys, text_slices
 from maskmetrics.llm.words import ALPHANUMERIC, hashed_words, mix, runs
+from maskmetrics.operators.lookup import salted_join
 from maskmetrics.session import settle, ship
 
 # Bounds of what is learned: labelled rows, and words with a weight.
@@ -163,7 +164,7 @@ def _weighted(rows: DataFrame) -> DataFrame:
     sizes = alike.groupBy("i", "s").agg(F.count("*").alias("n"))
     middle = F.sort_array(F.collect_list("n"))[SKETCHES // 2]
     # At most SKETCHES sizes per row of the bounded labelled set.
-    per_key = alike.join(sizes, ["i", "s"]).groupBy("key").agg(middle.alias("n"))
+    per_key = salted_join(alike, sizes, ["i", "s"], F.col("key"), "inner").groupBy("key").agg(middle.alias("n"))
     return settle(sketched.select("key", "toxic").distinct().join(per_key, "key")
                   .select("key", "toxic", (1 / F.col("n")).alias("share")), "weighted")
 
