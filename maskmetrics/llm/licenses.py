@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from maskmetrics.functions.text import bind
 from maskmetrics.operators.lookup import lookup_join, measure
 from maskmetrics.session import settle
 
@@ -35,9 +36,9 @@ TEMPLATES = (
 # A line, or a whole file, is a licence from these cosines on.
 LINE_LEVEL = 0.7
 FILE_LEVEL = 0.5
-# Words of ordinary text that say little about licences, the most frequent first.
-ORDINARY = ("the", "of", "and", "to", "a", "in", "is", "it", "or", "this", "by", "with", "at", "as", "for", "that", "are", "you",
-            "not", "any", "may", "can", "under", "be", "s", "0", "1", "2", "3", "4")
+# Words of ordinary text; they are left out of templates and texts alike. Fixed values.
+ORDINARY = ("the", "of", "and", "to", "a", "an", "in", "is", "it", "or", "this", "by", "with", "without", "at", "as", "for", "from",
+            "on", "that", "are", "was", "you", "not", "any", "may", "can", "under", "be", "either", "all", "s")
 SPLIT = "[^a-z0-9]+"
 
 
@@ -49,7 +50,7 @@ def _terms(text: str) -> list[str]:
         elif word:
             out.append(word)
             word = ""
-    return out
+    return [w for w in out if w not in ORDINARY]
 
 
 def template_weights(templates: Sequence[tuple[str, str]]) -> tuple[list[tuple[int, str, str, float]], dict[str, float], float]:
@@ -68,21 +69,22 @@ def template_weights(templates: Sequence[tuple[str, str]]) -> tuple[list[tuple[i
     return rows, idf, math.log(1 + len(templates)) + 1
 
 
-def telling_terms(rows: Sequence[tuple[int, str, str, float]], level: float) -> list[str]:
-    """Terms of which every text at ``level`` or above must hold one.
+def _may_reach(words: Column, rows: Sequence[tuple[int, str, str, float]], level: float) -> Column:
+    """True for every text whose cosine with some template is ``level`` or more, and few others.
 
-    By Cauchy and Schwarz a text without them has at most the length of a template's other
-    terms as its cosine; ordinary words are left out, the most frequent first, while that stays
-    below ``level`` for every template.
+    By Cauchy and Schwarz the cosine is at most the length of the template's terms that the
+    text holds.
     """
-    left_out: Counter = Counter()
-    kept = {t for _, _, t, _ in rows}
-    for term in (t for t in ORDINARY if t in kept):
-        new = {i: left_out[i] + w * w for i, _, t, w in rows if t == term}
-        if all(v < level * level for v in new.values()):
-            left_out.update({i: w * w for i, _, t, w in rows if t == term})
-            kept.remove(term)
-    return sorted(kept)
+    shared = F.array_intersect(words, F.array(*map(F.lit, sorted({t for _, _, t, _ in rows}))))
+
+    def reaches(held: Column) -> Column:
+        out = F.lit(False)
+        for template in sorted({r[0] for r in rows}):
+            length = sum((F.when(F.array_contains(held, t), w * w).otherwise(0.0) for i, _, t, w in rows if i == template), F.lit(1e-9))
+            out = out | (length >= level * level)
+        return out
+
+    return bind(shared, lambda held: (F.size(held) > 0) & reaches(held))
 
 
 def scan(df: DataFrame, path: str = "path", text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES,
@@ -91,21 +93,23 @@ def scan(df: DataFrame, path: str = "path", text: str = "text", templates: Seque
 
     ``unit`` is "line" or "file"; only cosines at the level of the unit or above are returned,
     one row per path and unit: the highest, then the first template. Terms are runs of a to z
-    and digits, lower-cased; every term counts in the length of a line, known or not. All lines
+    and digits, lower-cased, but for ordinary words; every term counts in the length of a line, known or not. All lines
     of whole texts are compared. Rows with the same path count as one file. Null and empty
     texts have no lines; a null path is a path of its own.
     """
     spark = df.sparkSession
     weights, idf, unknown = template_weights(templates)
-    needed = F.array(*map(F.lit, telling_terms(weights, min(line_level, file_level))))
+    ordinary = F.array(*map(F.lit, ("", *ORDINARY)))
+    lowest = min(line_level, file_level)
     # As many rows as the fixed templates have terms.
     table = spark.createDataFrame(weights, "template int, licence string, term string, weight double")
     terms = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
     body = F.lower(F.coalesce(F.col(text), F.lit("")))
-    near = df.select(F.col(path).alias("path"), body.alias("body")).where(F.arrays_overlap(F.split("body", SPLIT), needed))
+    near = df.select(F.col(path).alias("path"), body.alias("body")).where(_may_reach(F.split("body", SPLIT), weights, lowest))
     near = settle(near, "licence-texts")
     units = near.select("path", F.posexplode(F.concat(F.array("body"), F.split("body", "\n"))).alias("place", "unit")) \
-        .withColumn("words", F.array_remove(F.split("unit", SPLIT), "")).where(F.arrays_overlap("words", needed)) \
+        .withColumn("words", F.filter(F.split("unit", SPLIT), lambda w: ~F.array_contains(ordinary, w))) \
+        .where(_may_reach(F.col("words"), weights, lowest)) \
         .select(F.coalesce("path", F.lit("")).alias("file"), F.col("path").isNull().alias("nameless"),
                 F.when(F.col("place") == 0, "file").otherwise("line").alias("kind"), "words").distinct() \
         .withColumn("unit", F.xxhash64("file", "nameless", "kind", "words"))
@@ -147,7 +151,7 @@ def with_licences(df: DataFrame, path: str = "path", text: str = "text", templat
     cosine directly in it, then the first path. Rows keep their other columns; columns of
     these names are replaced. A row with a null path inherits nothing.
 
-    Only texts that hold a telling term are taken apart. Directories are resolved once each, by
+    Only texts that hold enough of a template's terms are taken apart. Directories are resolved once each, by
     a join of their ancestors with the directories that hold a licence file; rows then look up
     their directory, broadcast below a checked size, salted beyond, so a directory with a third
     of all files is shared out.
@@ -186,11 +190,12 @@ def oracle(paths: str, templates: Sequence[tuple[str, str]] = TEMPLATES, line_le
     """SQL for the rows of ``with_licences`` over a query ``paths`` that gives doc_id, path, text."""
     values = ", ".join(f"({i}, '{licence}', '{text.replace(chr(39), chr(39) * 2)}')" for i, (licence, text) in enumerate(templates))
     n = len(templates)
+    ordinary = ", ".join(f"'{w}'" for w in ORDINARY)
     return f"""
 WITH files AS ({paths}),
 templates(template, licence, text) AS (VALUES {values}),
 tterms AS (SELECT template, licence, term, count(*) AS n FROM (
-    SELECT template, licence, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM templates) GROUP BY ALL),
+    SELECT template, licence, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM templates) WHERE term NOT IN ({ordinary}) GROUP BY ALL),
 idf AS (SELECT term, ln((1.0 + {n}) / (1 + count(*))) + 1 AS idf FROM tterms GROUP BY term),
 tweights AS (SELECT template, licence, term, n * idf / sqrt(sum((n * idf) ** 2) OVER (PARTITION BY template)) AS weight
              FROM tterms JOIN idf USING (term)),
@@ -199,7 +204,7 @@ units AS (
     UNION ALL
     SELECT path, 'line', unnest(range(1, len(string_split(text, chr(10))) + 1)), unnest(string_split(lower(text), chr(10))) FROM files),
 uterms AS (SELECT path, kind, place, term, count(*) AS n FROM (
-    SELECT path, kind, place, unnest(regexp_extract_all(unit, '[a-z0-9]+')) AS term FROM units) GROUP BY ALL),
+    SELECT path, kind, place, unnest(regexp_extract_all(unit, '[a-z0-9]+')) AS term FROM units) WHERE term NOT IN ({ordinary}) GROUP BY ALL),
 valued AS (SELECT u.*, n * coalesce(idf, ln(1.0 + {n}) + 1) AS value FROM uterms u LEFT JOIN idf USING (term)),
 lengths AS (SELECT path, kind, place, sqrt(sum(value * value)) AS length FROM valued GROUP BY ALL),
 dots AS (SELECT path, kind, place, template, licence, sum(value * weight) AS dot FROM valued JOIN tweights USING (term) GROUP BY ALL),
