@@ -38,18 +38,29 @@ def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return first[owner] + STRIDE * index, (first + counts)[owner], index == 0, owner
 
 
-def _forward(p: Params, inputs: np.ndarray, skip: int) -> dict[str, np.ndarray]:
-    x = p["embed"][inputs]
-    asked = x[:, skip:]
-    q, k, v = asked @ p["query"], x @ p["key"], x @ p["value"]
-    s = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(WIDTH))
-    n = inputs.shape[1]
-    s += np.where(np.arange(n) <= np.arange(skip, n)[:, None], np.float32(0), np.float32(-1e9))
-    s -= s.max(axis=2, keepdims=True)
+def _tables(p: Params) -> Params:
+    """Every projection of every symbol: inputs are symbols, so projecting is looking up."""
+    return {name: p["embed"] @ p[name] for name in ("query", "key", "value", "own")}
+
+
+def _forward(p: Params, inputs: np.ndarray, skip: int, tables: Params | None = None) -> dict[str, np.ndarray]:
+    t = tables or _tables(p)
+    asked, n = inputs[:, skip:], inputs.shape[1]
+    q, k, v = t["query"][asked], t["key"][inputs], t["value"][inputs]
+    s = q @ k.transpose(0, 2, 1)
+    s *= s.dtype.type(1 / np.sqrt(WIDTH))
+    past = (np.arange(n) <= np.arange(skip, n)[:, None]).astype(s.dtype)
+    longest = [np.sqrt((t[name] ** 2).sum(axis=1).max()) for name in ("query", "key")]
+    if longest[0] * longest[1] / np.sqrt(WIDTH) > 60:  # else no exponential can overflow
+        s -= np.where(past > 0, s, -np.inf).max(axis=2, keepdims=True)
+        np.minimum(s, 0, out=s)
     np.exp(s, out=s)
+    s *= past
     s /= s.sum(axis=2, keepdims=True)
     a = s @ v
-    return {"x": x, "asked": asked, "q": q, "k": k, "v": v, "s": s, "a": a, "z": np.tanh(asked @ p["own"] + a @ p["seen"])}
+    z = a.reshape(-1, WIDTH) @ p["seen"]
+    z += t["own"][asked].reshape(-1, WIDTH)
+    return {"q": q, "k": k, "v": v, "s": s, "a": a, "z": np.tanh(z, out=z).reshape(a.shape)}
 
 
 def _soft(p: Params, z: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,6 +85,7 @@ def score(p: Params, targets: np.ndarray, inputs: np.ndarray, counts: np.ndarray
     """
     out = np.zeros(len(targets))
     starts, ends, opens, _ = windows(counts)
+    tables = _tables(p)
     for skip, chosen in ((0, np.flatnonzero(opens)), (WINDOW - STRIDE, np.flatnonzero(~opens))):
         for at in range(0, len(chosen), TOGETHER):
             some = chosen[at:at + TOGETHER]
@@ -81,7 +93,7 @@ def score(p: Params, targets: np.ndarray, inputs: np.ndarray, counts: np.ndarray
             place = starts[some, None] + np.arange(longest)
             real = place < ends[some, None]
             place = np.minimum(place, ends[some, None] - 1)
-            z = _forward(p, inputs[place], skip)["z"]
+            z = _forward(p, inputs[place], skip, tables)["z"]
             scored = real[:, skip:]
             where = place[:, skip:][scored]
             out[where] = _soft(p, z[scored], targets[where])[0]
@@ -105,7 +117,7 @@ def gradient(p: Params, inputs: np.ndarray, targets: np.ndarray, real: np.ndarra
     def flat(a: np.ndarray) -> np.ndarray:
         return a.reshape(-1, WIDTH)
 
-    x = f["x"]
+    x = p["embed"][inputs]
     g["own"], g["seen"] = flat(x).T @ flat(dz), flat(f["a"]).T @ flat(dz)
     da = dz @ p["seen"].T
     dx = dz @ p["own"].T

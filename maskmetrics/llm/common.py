@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], text: int = 1, budget: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterable[pa.RecordBatch], text: int = 1, budget: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about ``budget`` bytes of text, or one row.
 
     Batches are counted in rows, texts are not of one length: this bounds what a task holds.
