@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -69,22 +70,29 @@ def template_weights(templates: Sequence[tuple[str, str]]) -> tuple[list[tuple[i
     return rows, idf, math.log(1 + len(templates)) + 1
 
 
-def _may_reach(words: Column, rows: Sequence[tuple[int, str, str, float]], level: float) -> Column:
+def _may_reach(words: Column, rows: Sequence[tuple[int, str, str, float]], level: float,
+               idf: dict[str, float] | None = None, unknown: float = 0.0) -> Column:
     """True for every text whose cosine with some template is ``level`` or more, and few others.
 
     By Cauchy and Schwarz the cosine is at most the length of the template's terms that the
-    text holds.
+    text holds. With ``idf`` it is, more closely, at most that times the share of the text's own
+    length which these terms make; each further word adds at least ``unknown`` to that length.
     """
-    shared = F.array_intersect(words, F.array(*map(F.lit, sorted({t for _, _, t, _ in rows}))))
+    known = sorted({t for _, _, t, _ in rows})
+    shared = F.array_intersect(words, F.array(*map(F.lit, known)))
 
     def reaches(held: Column) -> Column:
-        out = F.lit(False)
-        for template in sorted({r[0] for r in rows}):
-            length = sum((F.when(F.array_contains(held, t), w * w).otherwise(0.0) for i, _, t, w in rows if i == template), F.lit(1e-9))
-            out = out | (length >= level * level)
-        return out
+        share = F.lit(1.0)
+        if idf is not None:
+            times = {t: (F.size(words) - F.size(F.array_remove(words, t))) * idf[t] for t in known}
+            own = sum((F.when(F.array_contains(held, t), times[t] * times[t]).otherwise(0.0) for t in known), F.lit(1e-9))
+            rest = F.size(F.array_except(words, F.array(*map(F.lit, ["", *known, *ORDINARY])))) * (unknown * unknown)
+            share = own / (own + rest)
+        return bind(share, lambda part: reduce(Column.__or__, (
+            sum((F.when(F.array_contains(held, t), w * w).otherwise(0.0) for i, _, t, w in rows if i == template), F.lit(1e-9))
+            * part >= (level - 1e-6) ** 2 for template in sorted({r[0] for r in rows}))))
 
-    return bind(shared, lambda held: (F.size(held) > 0) & reaches(held))
+    return bind(shared, lambda held: F.when(F.size(held) > 0, reaches(held)).otherwise(False))
 
 
 def scan(df: DataFrame, path: str = "path", text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES,
@@ -109,7 +117,7 @@ def scan(df: DataFrame, path: str = "path", text: str = "text", templates: Seque
     near = settle(near, "licence-texts")
     units = near.select("path", F.posexplode(F.concat(F.array("body"), F.split("body", "\n"))).alias("place", "unit")) \
         .withColumn("words", F.filter(F.split("unit", SPLIT), lambda w: ~F.array_contains(ordinary, w))) \
-        .where(_may_reach(F.col("words"), weights, lowest)) \
+        .where(_may_reach(F.col("words"), weights, lowest, idf, unknown)) \
         .select(F.coalesce("path", F.lit("")).alias("file"), F.col("path").isNull().alias("nameless"),
                 F.when(F.col("place") == 0, "file").otherwise("line").alias("kind"), "words").distinct() \
         .withColumn("unit", F.xxhash64("file", "nameless", "kind", "words"))

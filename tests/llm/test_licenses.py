@@ -28,11 +28,14 @@ def test_few_texts_pass_the_bound_and_none_is_lost(spark):
     texts = [t for _, t in TEMPLATES] + ["the of and to in is by any", "", "word " * 40]
     words = sorted({w for _, t in TEMPLATES for w in t.split()}) + ["other", "plain"] * 20
     texts += [" ".join(rng.choice(words) for _ in range(rng.randint(1, 12))) for _ in range(300)]
-    rows, _, _ = template_weights(TEMPLATES)
+    texts += [TEMPLATES[0][1] + " word" * 3 + " %d" % i + " filler w%d" % i * 60 for i in range(5, 9)]
+    rows, idf, unknown = template_weights(TEMPLATES)
     df = spark.createDataFrame([(i, t.lower()) for i, t in enumerate(texts)], "i int, t string")
     passed = {r["i"] for r in df.where(_may_reach(F.split("t", SPLIT), rows, FILE_LEVEL)).collect()}
+    closer = {r["i"] for r in df.where(_may_reach(F.split("t", SPLIT), rows, FILE_LEVEL, idf, unknown)).collect()}
+    assert closer <= passed
     reached = {i for i, t in enumerate(texts) if max(_cosines(t).values(), default=0) >= FILE_LEVEL}
-    assert reached <= passed and len(TEMPLATES) not in passed and len(TEMPLATES) + 2 not in passed
+    assert reached <= closer and len(TEMPLATES) not in passed and len(TEMPLATES) + 2 not in passed
 
 
 def test_notices_files_and_inheritance(spark):
