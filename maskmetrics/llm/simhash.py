@@ -19,17 +19,22 @@ from maskmetrics.session import settle, ship
 DENSE = 32
 
 
-def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
-    """The 64-bit SimHash of a text: each bit that is set in over half of its shingle hashes."""
+def shingle_hashes(text: bytes, width: int = 3, seed: int = 42) -> np.ndarray:
+    """The hashes of all runs of ``width`` words; a shorter text is one run, a blank one has none."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     flat = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     last = ends[min(width, len(words)) - 1:].tolist()
     starts = [0, *(ends[:len(last) - 1] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(flat[a:b], seed) for a, b in zip(starts, last)), np.uint64, len(last))
+    return np.fromiter((digest(flat[a:b], seed) for a, b in zip(starts, last)), np.uint64, len(last))
+
+
+def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
+    """The 64-bit SimHash of a text: each bit that is set in over half of its shingle hashes."""
+    hashes = shingle_hashes(text, width, seed)
     bits = np.zeros(64, np.int64)
     # Bounded pieces: a text of any length needs the same memory for its bits.
     for at in range(0, len(hashes), 1 << 16):
@@ -194,12 +199,15 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int
     All columns of ``df`` are kept. Only keys and digests are compared before the one join
     that picks rows.
     """
-    groups = group_rows(df, key, text, width, distance)
+    return keep_of_groups(df, group_rows(df, key, text, width, distance), key, text)
+
+
+def keep_of_groups(df: DataFrame, groups: Groups, key: str, text: str) -> DataFrame:
+    """The rows of ``df`` that ``keep_one`` promises, of any groups."""
     found = salted_join(groups.rows, groups.classes, ["fingerprint"], F.struct("key", "digest", "fingerprint"), "inner")
     stays = (found.where(F.col("key") == F.col("component")).groupBy("key").agg(F.min("digest").alias("digest"))
              .select(F.col("key").alias("_stay"), F.col("digest").alias("_of")))
     picked = df.join(stays, (df[key] == F.col("_stay")) & (_digest(text) == F.col("_of"))).dropDuplicates(["_stay", "_of"])
-    nameless = (with_fingerprints(df.where(F.col(key).isNull()), text, "_mark", width)
-                .join(groups.classes.where("component is null").select(F.col("fingerprint").alias("_mark"), "root"), "_mark")
-                .dropDuplicates(["root"]))
+    unnamed = found.where("component is null").groupBy("root").agg(F.min("digest").alias("_of")).select("_of")
+    nameless = df.where(F.col(key).isNull()).join(unnamed, _digest(text) == F.col("_of")).dropDuplicates(["_of"])
     return picked.select(*df.columns).unionByName(nameless.select(*df.columns))
