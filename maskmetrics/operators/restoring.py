@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import groupby
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,7 +13,7 @@ from maskmetrics.functions.text import (
 from maskmetrics.operators.lookup import Size, attach_values, measure
 from maskmetrics.operators.masking import mask_table
 from maskmetrics.operators.registry import Registry
-from maskmetrics.session import settle, spread_small
+from maskmetrics.session import spread_small
 
 # How a token of a detected value looks, raw and HTML-escaped.
 TOKEN = r"<[A-Z][A-Z_]*_\d+>"
@@ -20,8 +22,6 @@ _TOKEN_PARTS = r"^<([A-Z][A-Z_]*_\d+)>$"
 # A token that lost its brackets must stand alone; an alias may stand inside a longer word.
 _BARE = rf"(?<!{WORD})[A-Z][A-Z_]*_\d+(?!{WORD})"
 _NUMBERED, _LETTERED = r"^(.*_)\d+$", r"^(.*_)[A-Z]$"
-# Forms and odd aliases that a pattern may list; a mapping with more is read by whole words.
-MOST_FORMS = 1_000
 
 # A double-quoted literal, a doubled quote standing for one quote inside it.
 LITERAL = r'"(?:[^"]|"")*"'
@@ -45,12 +45,33 @@ def _entries(mapping: DataFrame, html: bool) -> DataFrame:
             .groupBy("f.key").agg(F.min_by("value", F.struct("f.rank", "value")).alias("value")))
 
 
+def _longest_of(ends: dict[str, str]) -> str:
+    """A pattern for any of the texts, each followed by its end (a pattern), longer texts first.
+
+    Texts that open alike share that part, so a match walks down one branch, however many there are.
+    """
+    def branch(texts: list[str], at: int) -> str:
+        groups, own = [], None
+        for opening, group in groupby(texts, lambda t: t[at:at + 1]):
+            some = list(group)
+            if not opening:
+                own = ends[some[0]]
+                continue
+            until = len(commonprefix([some[0], some[-1]]))
+            groups.append(regex_quote(some[0][at:until]) + branch(some, until))
+        groups += [own] if own is not None else []
+        return groups[0] if len(groups) == 1 else f"(?:{'|'.join(groups)})"
+
+    return branch(sorted(ends), 0)
+
+
 def _alias_pattern(mapping: DataFrame, html: bool) -> tuple[str, Size]:
     """What to look for in texts, and the size of the mapping, in one pass over it.
 
     Aliases are a stem and a number or a letter; the stems are few, so one pattern finds all
     aliases wherever they stand. An alias of another form is listed as it is: before the
-    stems if it continues one, else after them, longer ones first.
+    stems if it continues one, else after them, longer ones first. All odd aliases are in the
+    pattern, however many the mapping holds.
     """
     alias = F.col("alias")
     numbered, lettered = F.regexp_extract(alias, _NUMBERED, 1), F.regexp_extract(alias, _LETTERED, 1)
@@ -58,23 +79,21 @@ def _alias_pattern(mapping: DataFrame, html: bool) -> tuple[str, Size]:
             .when(numbered != "", F.struct(F.lit("number").alias("kind"), numbered.alias("text")))
             .when(lettered != "", F.struct(F.lit("letter").alias("kind"), lettered.alias("text")))
             .otherwise(F.struct(F.lit("odd").alias("kind"), alias.alias("text"))))
+    # One row per stem and per odd alias.
     forms = mapping.groupBy(form.alias("form")).agg(
         F.count("*").alias("n"), F.sum(F.char_length("alias") + F.coalesce(F.char_length("value"), F.lit(0))).alias("c"))
-    # Stems, and as many odd aliases as a pattern may hold, with the totals of all of them.
-    forms = settle(forms, "alias-forms")
-    total = forms.agg(F.sum("n").alias("n"), F.sum("c").alias("c")).first()
-    size = Size(total["n"] or 0, total["c"] or 0)
-    rows = forms.orderBy(F.col("form.kind") == "odd", "form").limit(MOST_FORMS + 1).collect()
-    found = [(r["form"]["kind"], r["form"]["text"]) for r in rows]
+    rows = forms.collect()
+    size = Size(sum(r["n"] for r in rows), sum(r["c"] for r in rows))
+    known = {(r["form"]["kind"], r["form"]["text"]) for r in rows}
     escaped = ESCAPED_TOKEN + "|" if html else ""
-    if len(found) > MOST_FORMS:
-        return f"{escaped}{TOKEN}|{WORD}+", size
-    stems = sorted({t for k, t in found if k in ("number", "letter")}, key=lambda t: (-len(t), t))
-    ends = {t: [e for k, e in (("number", r"\d+"), ("letter", r"[A-Z](?![\p{L}\p{N}])")) if (k, t) in set(found)] for t in stems}
-    written = [rf"{regex_quote(t)}(?:{'|'.join(ends[t])})" for t in stems]
-    odd = sorted((t for k, t in found if k == "odd" and t), key=lambda t: (-len(t), t))
-    longer = [t for t in odd if any(t.startswith(s) for s in stems)]
-    parts = [TOKEN, *map(regex_quote, longer), *written, _BARE, *(regex_quote(t) for t in odd if t not in set(longer))]
+    stems = {t for k, t in known if k in ("number", "letter")}
+    ends = {t: "(?:" + "|".join(e for k, e in (("number", r"\d+"), ("letter", r"[A-Z](?![\p{L}\p{N}])")) if (k, t) in known) + ")"
+            for t in stems}
+    odd = {t for k, t in known if k == "odd" and t}
+    lengths = sorted({len(t) for t in stems})
+    longer = {t for t in odd if any(t[:n] in stems for n in lengths)}
+    listed = [_longest_of(e) if e else None for e in (dict.fromkeys(longer, ""), ends, dict.fromkeys(odd - longer, ""))]
+    parts = [p for p in (TOKEN, listed[0], listed[1], _BARE, listed[2]) if p]
     return escaped + "|".join(parts), size
 
 

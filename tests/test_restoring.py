@@ -126,3 +126,16 @@ def test_mask_and_restore_give_the_text_back(spark, registry_of):
     masked = mask_text(df, "t", r)
     assert masked.where(F.col("t").contains("Acme")).isEmpty()
     assert restore_text(masked, "t", r.df.select("alias", "value")).collect() == df.collect()
+
+
+def test_a_mapping_of_many_odd_aliases_restores_as_a_small_one(spark):
+    few = {"Client_A": "Acme", "Resource_1": "Jan", "north star": "Polaris", "x.y-z": "Dot", "x.y": "Dos", "Client_Alpha": "Long", "ab": "AB"}
+    texts = ["_Client_A_ QBR_Client_A.html Resource_12", "the north stars, ax.y-zb x.yab", "Client_AlphaResource_1x", "xzy Nothing"]
+    want = ["_Acme_ QBR_Acme.html Resource_12", "the Polariss, aDotb DosAB", "LongJanx", "xzy Nothing"]
+    many = few | {f"odd alias-{i}!": f"value {i}" for i in range(1_500)} | {f"stem{i}_1": f"s{i}" for i in range(1_200)}
+    df = spark.createDataFrame(list(enumerate([*texts, "zodd alias-1499!z odd alias-14! xstem1199_1"])), "id int, t string")
+    for plan in PLANS:
+        assert [r["t"] for r in restore_text(df, "t", mapping_frame(spark, few), plan=plan).orderBy("id").collect()][:4] == want
+        got = [r["t"] for r in restore_text(df, "t", mapping_frame(spark, many), plan=plan).orderBy("id").collect()]
+        assert got == [*want, "zvalue 1499z value 14 xs1199"]
+        assert [r["t"] for r in restore_html(df, "t", mapping_frame(spark, many), plan=plan).orderBy("id").collect()] == got
