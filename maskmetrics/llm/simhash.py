@@ -205,7 +205,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int
 def keep_of_groups(df: DataFrame, groups: Groups, key: str, text: str) -> DataFrame:
     """The rows of ``df`` that ``keep_one`` promises, of any groups."""
     found = salted_join(groups.rows, groups.classes, ["fingerprint"], F.struct("key", "digest", "fingerprint"), "inner")
-    stays = (found.where(F.col("key") == F.col("component")).groupBy("key").agg(F.min("digest").alias("digest"))
+    stays = (found.where(F.col("key") == F.col("component")).groupBy("root", "key").agg(F.min("digest").alias("digest"))
              .select(F.col("key").alias("_stay"), F.col("digest").alias("_of")))
     picked = df.join(stays, (df[key] == F.col("_stay")) & (_digest(text) == F.col("_of"))).dropDuplicates(["_stay", "_of"])
     unnamed = found.where("component is null").groupBy("root").agg(F.min("digest").alias("_of")).select("_of")

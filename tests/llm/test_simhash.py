@@ -97,3 +97,9 @@ def test_components_and_survivors(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(none).count() == 0 and keep_one(none).count() == 0
+
+
+def test_groups_that_share_a_key_keep_a_row_each(spark):
+    texts = ["one text of a few words", "quite another line that says more than that"]
+    df = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (2, texts[0]), (3, texts[1])], "doc_id long, text string")
+    assert sorted(tuple(r) for r in keep_one(df).collect()) == [(1, texts[0]), (1, texts[1])]
