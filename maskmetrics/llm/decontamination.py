@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from maskmetrics.llm.common import byte_texts, text_slices
 from maskmetrics.llm.words import ALPHANUMERIC, hashed_words, runs, whole_runs
-from maskmetrics.operators.lookup import lookup_join, measure
+from maskmetrics.operators.lookup import Size, lookup_join, measure
 from maskmetrics.session import settle, ship
 
 # Places of the table that keeps most foreign fingerprints inside their task; it drops none
 # that the benchmark has, however many it has.
 FILTER_BITS = 22
+# A place in a row: a struct of three numbers.
+PLACE_BYTES = 40
 
 
 def winnow(hashes: np.ndarray, counts: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,6 +97,12 @@ def benchmark_prints(items: DataFrame, key: str, text: str, size: int, gram: int
             settle(rows.mapInArrow(windows, "item string, width int, window binary").distinct(), "windows"))
 
 
+def _asked_size(asked: DataFrame) -> Size:
+    """Rows of ``asked`` and the bytes of all their places, counted before a broadcast."""
+    row = asked.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("places")), F.lit(0)).alias("places")).first()
+    return Size(row["n"], row["places"] * PLACE_BYTES)
+
+
 def shared_windows(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                    item_text: str = "text", size: int = 10, gram: int = 5) -> DataFrame:
     """All windows of benchmark items in documents: (row, start, width, item), start in words.
@@ -164,7 +172,7 @@ def shared_windows(df: DataFrame, items: DataFrame, key: str = "doc_id", text: s
                                               pa.array(widths, pa.int32()), pa.array(digests, pa.binary())],
                                              names=["row", "start", "width", "window"])
 
-    few = measure(asked)
+    few = _asked_size(asked)
     known = F.broadcast(asked) if few.bounded else asked
     candidates = slim.join(known, "row").dropDuplicates(["row"]).mapInArrow(
         extend, "row string, start int, width int, window binary")

@@ -71,3 +71,12 @@ def test_every_long_shared_run_keeps_a_common_gram():
                                  rng.integers(0, 4, rng.integers(0, 20)).astype(np.uint64)]) for _ in range(2)]
         a, b = (set(winnow(s, np.array([len(s)]), 5, 6)[1].tolist()) for s in sides)
         assert a & b
+
+
+def test_long_place_lists_are_not_broadcast(spark):
+    from maskmetrics.llm.decontamination import _asked_size
+
+    def asked(n):
+        return spark.range(2).selectExpr("cast(id as string) as row", f"transform(sequence(1, {n}), i -> struct(i as at, 0 as back, 10 as width)) as places")
+    assert _asked_size(asked(5)).bounded and _asked_size(asked(5)).chars == 400
+    assert not _asked_size(asked(400_000)).bounded
