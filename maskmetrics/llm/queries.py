@@ -182,3 +182,23 @@ def _licence_oracle() -> str:
 
 
 ORACLES["op9_licence_scan"] = _licence_oracle()
+
+
+def _lower_ascii(text: str) -> str:
+    """SQL: ``text`` with A to Z lower-cased and nothing else."""
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@_query
+def op13_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of `documents`, the words one edit apart from each, and the form it goes back to."""
+    from maskmetrics.llm.spelling import spelling_forms, word_counts
+
+    docs = table(spark, sf_dir, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text")
+    runs = docs.select("id", F.explode(F.regexp_extract_all(F.expr(_lower_ascii("text")), F.lit(r"[a-zÀ-ÿ]+"), F.lit(0))).alias("run"))
+    # One in 199 runs loses a character.
+    h = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
+    at = (h % F.char_length("run")).cast("int")
+    less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
+    words = runs.select(F.when(h % 199 == 0, less).otherwise(F.col("run")).alias("word"))
+    return spelling_forms(word_counts(words)).select("word", "form", "root", "n", "n_near", "form_n")
