@@ -202,3 +202,25 @@ def op13_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
     words = runs.select(F.when(h % 199 == 0, less).otherwise(F.col("run")).alias("word"))
     return spelling_forms(word_counts(words)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@_query
+def op12_parity_sketch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of `documents` whose sets of five-word shingles have a Jaccard index of 0.8 or more."""
+    from maskmetrics.llm.parity import jaccard_groups
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_groups(docs, width=5, percent=80).withColumnRenamed("component", "component_id")
+
+
+ORACLES["op12_parity_sketch_groups"] = rf"""
+WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all({_lower_ascii("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+pieces AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END)) AS piece FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM pieces GROUP BY 1),
+named AS (SELECT doc_id, dense_rank() OVER (ORDER BY piece) AS piece FROM pieces),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM named a JOIN named b ON a.piece = b.piece AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT met.a, met.b FROM met JOIN sizes x ON x.doc_id = met.a JOIN sizes y ON y.doc_id = met.b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+reach(doc_id, root) AS (SELECT doc_id, doc_id FROM texts UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.doc_id)
+SELECT texts.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(root) AS component_id
+FROM texts LEFT JOIN sizes ON sizes.doc_id = texts.doc_id JOIN reach ON reach.doc_id = texts.doc_id GROUP BY 1"""
