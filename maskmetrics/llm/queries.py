@@ -224,3 +224,38 @@ links AS (SELECT met.a, met.b FROM met JOIN sizes x ON x.doc_id = met.a JOIN siz
 reach(doc_id, root) AS (SELECT doc_id, doc_id FROM texts UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.doc_id)
 SELECT texts.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(root) AS component_id
 FROM texts LEFT JOIN sizes ON sizes.doc_id = texts.doc_id JOIN reach ON reach.doc_id = texts.doc_id GROUP BY 1"""
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """One text in ten repeats a stretch of its words up to its end; the others stay as they are."""
+    from maskmetrics.functions.text import bind
+
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def repeated(words):
+        n = F.size(words).cast("long")
+        start = g % n
+        period = 1 + F.floor((n - start) / (3 + g % 8)).cast("long")
+        return F.when(n > 0, F.array_join(F.transform(words, lambda w, i: F.when(i < start, w).otherwise(
+            F.get(words, (start + (i - start) % period).cast("int")))), " ")).otherwise(F.lit(""))
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return docs.withColumn("text", F.when((h % 10 == 0) & F.col("text").isNotNull(), bind(words, repeated)).otherwise(F.col("text")))
+
+
+@_query
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all `documents`, the longest of each, and the texts without the repeats."""
+    from maskmetrics.llm.periodic import with_runs
+
+    found = with_runs(_with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")), least=12)
+    ranked = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("a"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", ranked)
+    length, period = -F.col("best.a"), F.col("best.period")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), length.alias("length"),
+        period.alias("period"), F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
