@@ -2,9 +2,8 @@
 
 Quality rules and toxicity drop the rows that they reject, near-duplicate groups keep one row,
 documents that hold a benchmark window go, and what is left is encoded. Every stage works on
-all that the stage before it kept, with the parameters of the operator's own query; near
-duplicates are texts of a five-word Jaccard index of 0.8 or more. A stage takes its labels and
-benchmark items from the tables in ``sf_dir``.
+all that the stage before it kept, with the parameters of the operator's own query. A stage takes
+its labels and benchmark items from the tables in ``sf_dir``.
 """
 
 from __future__ import annotations
@@ -17,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from maskmetrics.llm.bpe import encode_texts
 from maskmetrics.llm.common import table
 from maskmetrics.llm.decontamination import without_contaminated
-from maskmetrics.llm.near_copies import keep_one_similar
 from maskmetrics.llm.quality import learn_rules, with_verdict
+from maskmetrics.llm.simhash import keep_one
 from maskmetrics.llm.toxicity import fit, held_out_key, with_toxicity
 from maskmetrics.session import scratch_root
 
@@ -40,8 +39,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies (five-word Jaccard 0.8 or more): that with the smallest doc_id."""
-    return keep_one_similar(docs, width=5, level=0.8)
+    """One row of each group of linked fingerprints (three words, 2 bits): that with the smallest doc_id."""
+    return keep_one(docs, width=3, distance=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
