@@ -233,9 +233,11 @@ def _join_plan(df: DataFrame, columns: list[str], registry: Registry) -> DataFra
 
     keyed = df.withColumn("_leaves", F.array_distinct(_leaves(packed, row_type)))
     keyed = keyed.withColumn("_runs", F.array_distinct(F.flatten(F.transform("_leaves", runs_of))))
+    # Equal texts share one look-up, keyed by their digest, so no row id is needed. The runs are
+    # made once: three branches read them.
+    keyed = settle(keyed.withColumn("_key", F.sha2(F.to_json("_leaves"), 256)).drop("_leaves"), "word-runs")
     plain = keyed.where(F.size("_runs") == 0).select(*df.columns)
-    # Equal texts share one look-up, keyed by their digest, so no row id is needed.
-    keyed = keyed.where(F.size("_runs") > 0).withColumn("_key", F.sha2(F.to_json("_leaves"), 256))
+    keyed = keyed.where(F.size("_runs") > 0)
     asked = keyed.select("_key", F.explode("_runs").alias("words")).distinct()
     hits = salted_join(asked, lookup, ["words"], F.col("_key"), "inner")
     per_text = hits.groupBy("_key").agg(

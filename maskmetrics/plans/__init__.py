@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("metric_queries", "report_queries", "shape_queries", "alias_queries", "catalog_queries",
-           "pii_queries", "name_queries", "claim_queries", "stream_queries")
+           "pii_queries", "name_queries", "broken_name_queries", "claim_queries", "stream_queries")
 
 
 def load_queries() -> tuple[dict, dict]:

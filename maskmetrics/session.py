@@ -76,11 +76,12 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
 def spread_small(df: DataFrame) -> DataFrame:
     """Spread a small input over the cores before work that is heavy per row.
 
-    One small file is one task, however many cores wait. The planner's own estimate of the
-    size decides, so no file is listed; from one default split per core on, the input is
-    left as it is.
+    One small file is one task, however many cores wait. The planner's own estimates of the
+    tables that are read decide, so no file is listed; an estimate of a join would be a
+    product. From one default split per core on, the input is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     split = 128 * 1024 * 1024
     return df.repartition(cores) if 0 < size < cores * split else df
