@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from maskmetrics.functions.matcher import Matcher, shared_matcher
 from maskmetrics.functions.text import WORD, bind, fold_case, regex_quote, splice, tokens
+from maskmetrics.functions.variants import all_strings, put_strings
 from maskmetrics.operators.lookup import key_filter, salted_join
 from maskmetrics.operators.registry import Registry, match_order
 from maskmetrics.session import settle, ship, spread_small
@@ -37,6 +38,17 @@ def holds_text(dt: T.DataType) -> bool:
     return isinstance(dt, T.StringType)
 
 
+def holds_variant(dt: T.DataType) -> bool:
+    """True for VARIANT and for anything that has such a value inside."""
+    if isinstance(dt, T.StructType):
+        return any(holds_variant(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return holds_variant(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return holds_variant(dt.valueType)
+    return isinstance(dt, T.VariantType)
+
+
 # --- small plan -------------------------------------------------------------------
 
 def boundary_guard(value: str) -> str:
@@ -282,9 +294,18 @@ def mask_plan(registry: Registry) -> str:
 
 def mask_columns(df: DataFrame, columns: list[str], registry: Registry,
                  plan: str | None = None) -> DataFrame:
-    """Replace every known value in the given columns, whatever their nesting."""
+    """Replace every known value in the given columns, whatever their nesting, also inside VARIANT values."""
+    if not registry.enabled or registry.size.rows == 0:
+        return df
+    variants = [c for c in columns if holds_variant(df.schema[c].dataType)]
+    if variants:
+        return _mask_variants(df, columns, variants, registry, plan)
+    return _mask_text_columns(df, columns, registry, plan)
+
+
+def _mask_text_columns(df: DataFrame, columns: list[str], registry: Registry, plan: str | None) -> DataFrame:
     columns = [c for c in columns if holds_text(df.schema[c].dataType)]
-    if not registry.enabled or registry.size.rows == 0 or not columns:
+    if not columns:
         return df
     plan = plan or mask_plan(registry)
     df = spread_small(df)
@@ -297,6 +318,17 @@ def mask_columns(df: DataFrame, columns: list[str], registry: Registry,
     return _join_plan(df, columns, registry)
 
 
+def _mask_variants(df: DataFrame, columns: list[str], variants: list[str], registry: Registry, plan: str | None) -> DataFrame:
+    """The strings of all variants become array columns, which every plan can mask, and then go back to their places."""
+    ship(df.sparkSession)
+    texts = {c: f"_variant_strings_{i}" for i, c in enumerate(variants)}
+    read = F.arrow_udf(all_strings, "array<string>")
+    held = spread_small(df).select("*", *(read(F.col(c)).alias(t) for c, t in texts.items()))
+    masked = _mask_text_columns(held, [*columns, *texts.values()], registry, plan)
+    return masked.select(*(F.arrow_udf(put_strings, df.schema[c].dataType)(F.col(c), F.col(texts[c])).alias(c) if c in texts else F.col(c)
+                           for c in df.columns))
+
+
 def mask_text(df: DataFrame, column: str, registry: Registry,
               plan: str | None = None) -> DataFrame:
     return mask_columns(df, [column], registry, plan)

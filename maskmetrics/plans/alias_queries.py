@@ -220,6 +220,31 @@ def masked_json_texts(spark: SparkSession, d: str) -> DataFrame:
     return mask_json(rows, "json", desk_registry(spark, d))
 
 
+@query(f"WITH {ALIASES} SELECT o_orderkey, alias AS who, 'say ' || alias || '!' AS note, CAST(o_custkey AS BIGINT) AS number, CAST(o_orderdate AS DATE) AS day, "
+       "o_totalprice AS price, 'OBJECT<at: DATE, by: STRING, key: BIGINT, notes: ARRAY<STRING>, price: DOUBLE>' AS kinds "
+       "FROM orders JOIN customer ON c_custkey = o_custkey JOIN clients ON norm = lower(c_name)")
+def masked_variant_orders(spark: SparkSession, d: str) -> DataFrame:
+    """VARIANT values of a table: names go from strings at any depth, all other values keep their types."""
+    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    packed = F.to_variant_object(F.struct(
+        F.to_date("o_orderdate").alias("at"), F.col("c_name").alias("by"), F.col("o_custkey").cast("long").alias("key"),
+        F.array(F.concat(F.lit("say "), "c_name", F.lit("!")), F.lit("")).alias("notes"), F.col("o_totalprice").cast("double").alias("price")))
+    rows = table(spark, d, "orders").join(customers, "o_custkey").select("o_orderkey", packed.alias("v"))
+    masked = mask_table(rows, desk_registry(spark, d))
+    return masked.select("o_orderkey", F.variant_get("v", "$.by", "string").alias("who"), F.variant_get("v", "$.notes[0]", "string").alias("note"),
+                         F.variant_get("v", "$.key", "long").alias("number"), F.variant_get("v", "$.at", "date").alias("day"),
+                         F.variant_get("v", "$.price", "double").alias("price"), F.schema_of_variant("v").alias("kinds"))
+
+
+@query(f"WITH {ALIASES} SELECT event_id, '{{\"by\":\"' || alias || '\",\"props\":' || replace(props, ' ', '') || '}}' AS json "
+       "FROM events JOIN contacts ON norm = 'user' || CAST(user_id AS VARCHAR) || '@example.com'")
+def masked_parsed_events(spark: SparkSession, d: str) -> DataFrame:
+    """Parsed JSON of events with the contact in it, masked by the plan of a large dictionary and printed again."""
+    text = F.concat(F.lit('{"by":"'), contact(), F.lit('","props":'), "props", F.lit("}"))
+    rows = table(spark, d, "events").select("event_id", F.parse_json(text).alias("v"))
+    return mask_nested(rows, "v", desk_registry(spark, d), plan="large").select("event_id", F.to_json("v").alias("json"))
+
+
 # --- restoring ---------------------------------------------------------------------
 
 _PLAIN_LINES = (f"SELECT l_orderkey, l_linenumber, l_partkey, "
