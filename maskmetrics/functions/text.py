@@ -72,13 +72,14 @@ def contains_ci(c: Column | str, term: Column | str) -> Column:
     return F.contains(F.lower(as_column(c)), F.lower(term))
 
 
-def tokens(text: Column | str, pattern: str) -> Column:
+def tokens(text: Column | str, pattern: Column | str) -> Column:
     """All matches of ``pattern``, left to right; never null."""
-    return F.coalesce(F.regexp_extract_all(as_column(text), F.lit(pattern), F.lit(0)),
+    pattern = pattern if isinstance(pattern, Column) else F.lit(pattern)
+    return F.coalesce(F.regexp_extract_all(as_column(text), pattern, F.lit(0)),
                       F.array().cast("array<string>"))
 
 
-def splice(text: Column | str, pattern: str, replacements: Column) -> Column:
+def splice(text: Column | str, pattern: Column | str, replacements: Column) -> Column:
     """Put ``replacements[i]`` in the place of the i-th match of ``pattern``."""
     gaps = F.split(as_column(text), pattern, -1)
     ends = F.concat(replacements, F.array(F.lit("")))

@@ -258,6 +258,16 @@ def restored_line_texts(spark: SparkSession, d: str) -> DataFrame:
     return restore_text(mask_text(line_texts(spark, d), "text", registry), "text", get_mapping(registry))
 
 
+@query("SELECT o_orderkey, 'By ' || c_name || ', x' || c_name || 'y, desk-' || o_custkey || '?' AS text FROM orders JOIN customer ON c_custkey = o_custkey")
+def restored_odd_aliases(spark: SparkSession, d: str) -> DataFrame:
+    """One alias per customer that is no stem with a number, too many to list: an index of their rarest grams finds them."""
+    desk = F.concat(F.lit("desk-"), F.col("c_custkey").cast("string"), F.lit("#"))
+    mapping = table(spark, d, "customer").select(desk.alias("alias"), F.col("c_name").alias("value"))
+    key = F.col("o_custkey").cast("string")
+    text = F.concat(F.lit("By desk-"), key, F.lit("#, xdesk-"), key, F.lit("#y, desk-"), key, F.lit("?"))
+    return restore_text(table(spark, d, "orders").select("o_orderkey", text.alias("text")), "text", mapping)
+
+
 @query(_PLAIN_LINES)
 def restored_line_texts_by_join(spark: SparkSession, d: str) -> DataFrame:
     registry = desk_registry(spark, d)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +141,38 @@ def test_a_mapping_of_many_odd_aliases_restores_as_a_small_one(spark):
         got = [r["t"] for r in restore_text(df, "t", mapping_frame(spark, many), plan=plan).orderBy("id").collect()]
         assert got == [*want, "zvalue 1499z value 14 xs1199"]
         assert [r["t"] for r in restore_html(df, "t", mapping_frame(spark, many), plan=plan).orderBy("id").collect()] == got
+
+
+@pytest.mark.parametrize("most", [(0, 10_000), (0, 0)])
+def test_looked_up_aliases_restore_as_listed_ones(spark, monkeypatch, most):
+    from maskmetrics.operators import restoring
+    rng = random.Random(11)
+    names = ["Client_A", "Client_12", "Client_1", "Client_Alpha", "Client_", "AB", "AB_1-X", "<PERSON_1>", "<PERSON_2>", "north star", "north", "x.y", "(a|b)*",
+             "A_B_1", "A_C", "é_1", "é", "_", "stem_1x", "stem_7", "em_", "a&b", "long alias " * 9, "😀", "😀😀_3"]
+    mapping = {n: f"«{i}»" for i, n in enumerate(names)}
+    pieces = [*names, "Client_13", "Client_B", "PERSON_1", "PERSON_9", "stem_12", "1", "x", " ", "-", "&lt;PERSON_2&gt;", "AB_12", "Cli", "A_B_", "long alias "]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))) for _ in range(250)] + [None, "", "x" * 50_000 + "north star", "AB", "AB"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    frame = mapping_frame(spark, mapping)
+    want = {html: {r["id"]: r["t"] for r in restore_text(df, "t", frame, html=html).collect()} for html in (False, True)}
+    counts = {r["id"]: r["restored"] for r in restore_counts(df, "t", frame).collect()}
+    monkeypatch.setattr(restoring, "MOST_LISTED", most[0])
+    monkeypatch.setattr(restoring, "MOST_STEMS", most[1])
+    for html in (False, True):
+        assert {r["id"]: r["t"] for r in restore_text(df, "t", frame, html=html).collect()} == want[html]
+    assert {r["id"]: r["restored"] for r in restore_counts(df, "t", frame).collect()} == counts
+    assert restore_text(df, "t", frame).columns == ["id", "t"]
+    assert restore_text(df.limit(0), "t", frame).count() == 0
+    assert restore_text(df, "t", frame.limit(0)).count() == len(texts)
+
+
+def test_strings_in_texts_against_a_scan(spark):
+    from maskmetrics.operators.odd_aliases import held_strings
+    rng = random.Random(4)
+    strings = {"".join(rng.choice("abc ") for _ in range(rng.randint(1, 9))) for _ in range(300)}
+    texts = ["".join(rng.choice("abc d") for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    df = spark.createDataFrame([*enumerate(texts), (900, None)], "text_key int, text string")
+    known = spark.createDataFrame([(s, [str(len(s))]) for s in strings], "string string, labels array<string>")
+    got = {r["text_key"]: {(x["string"], *x["labels"]) for x in r["found"]} for r in held_strings(df, known).collect()}
+    want = {i: {(s, str(len(s))) for s in strings if s in t} for i, t in enumerate(texts)}
+    assert got == {i: f for i, f in want.items() if f}
