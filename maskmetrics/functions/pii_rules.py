@@ -78,12 +78,77 @@ def dea_valid(c: Column) -> Column:
     return (d[0] + d[2] + d[4] + 2 * (d[1] + d[3] + d[5])) % 10 == d[6]
 
 
+# The digits of base 58 and of bech32, and the constants of the bech32 checksum.
+BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+BECH32 = "qpzry9x8gf2tvdw0s3jn54khce6mua7l"
+BECH32_STEPS = (0x3B6A57B2, 0x26508E6D, 0x1EA119FA, 0x3D4233DD, 0x2A1462B3)
+BECH32_END, BECH32M_END = 1, 0x2BC830A3
+
+
+def _characters(c: Column) -> Column:
+    return F.regexp_extract_all(c, F.lit("."), F.lit(0))
+
+
+def base58_hex(c: Column) -> Column:
+    """The number that ``c`` writes in base 58, as 54 hexadecimal digits; its digits must be of that base."""
+    bits = 24
+    zero = F.array(*[F.lit(0).cast("long")] * 9)
+
+    def times_58_plus(limbs: Column, digit: Column) -> Column:
+        start = F.struct(digit.cast("long").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+
+        def step(acc: Column, limb: Column) -> Column:
+            value = limb * 58 + acc["carry"]
+            return F.struct(F.shiftright(value, bits).alias("carry"), F.concat(acc["out"], F.array(value.bitwiseAND(F.lit((1 << bits) - 1)))).alias("out"))
+
+        return F.aggregate(limbs, start, step, lambda acc: acc["out"])
+
+    # The lowest limb first.
+    limbs = F.aggregate(_characters(c), zero, lambda acc, ch: times_58_plus(acc, F.instr(F.lit(BASE58), ch) - 1))
+    return F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(F.hex(x), 6, "0")), "")
+
+
+def base58check_valid(c: Column) -> Column:
+    """25 bytes: a version, 20 bytes, and the first four of the doubled SHA-256 of these; one leading 1 per leading zero byte."""
+    def check(digits: Column) -> Column:
+        body = F.substring(digits, 5, 42)
+        once = F.sha2(F.unhex(body), 256)
+        ones = F.char_length(F.regexp_extract(c, "^1*", 0))
+        zeros = F.floor(F.char_length(F.regexp_extract(F.substring(digits, 5, 50), "^0*", 0)) / 2)
+        return ((F.substring(digits, 1, 4) == "0000") & (ones == zeros)
+                & (F.substring(F.sha2(F.unhex(once), 256), 1, 8) == F.lower(F.substring(digits, 47, 8))))
+
+    return bind(base58_hex(c), check)
+
+
+def bech32_valid(c: Column) -> Column:
+    """An address of the first witness version ends in the older checksum, one of a later version in the newer; never in mixed case."""
+    low = F.lower(c)
+    data = F.transform(_characters(F.substring(low, 4, 100)), lambda ch: (F.instr(F.lit(BECH32), ch) - 1).cast("long"))
+    # The part before the 1, "bc": high bits, a zero, low bits.
+    values = F.concat(F.array(*(F.lit(v).cast("long") for v in (3, 3, 0, 2, 3))), data)
+
+    def step(sum_: Column, value: Column) -> Column:
+        out = F.shiftleft(sum_.bitwiseAND(F.lit(0x1FFFFFF)), 5).bitwiseXOR(value)
+        for i, constant in enumerate(BECH32_STEPS):
+            out = out.bitwiseXOR(F.shiftright(sum_, 25 + i).bitwiseAND(F.lit(1)) * F.lit(constant))
+        return out
+
+    end = F.aggregate(values, F.lit(1).cast("long"), step)
+    return ((c == low) | (c == F.upper(c))) & F.when(data[0] == 0, end == BECH32_END).otherwise(end == BECH32M_END)
+
+
+def crypto_valid(c: Column) -> Column:
+    return F.when(F.lower(F.substring(c, 1, 3)) == "bc1", bech32_valid(c)).otherwise(base58check_valid(c))
+
+
 @dataclass(frozen=True)
 class PatternDetector:
     """One entity type found by a Java regex.
 
     A text can only match when it contains one of ``literals`` or, where there are none,
-    matches the cheap regex ``hint``.
+    matches the cheap regex ``hint``. A pattern that says little by itself names ``context``:
+    words of which one must be among the five before a match, to raise its score to ``raised``.
     """
 
     entity_type: str
@@ -92,6 +157,29 @@ class PatternDetector:
     literals: tuple[str, ...] = ()
     hint: str = ""
     valid: object = None
+    context: tuple[str, ...] = ()
+    raised: float = 0.0
+
+    @property
+    def best(self) -> float:
+        return max(self.score, self.raised)
+
+    def score_behind(self, before: Column) -> Column:
+        """The score of a match, given the text before it."""
+        if not self.context:
+            return F.lit(float(self.score))
+        words = "|".join(self.context)
+        near = rf"(?i)(?<![\p{{L}}\p{{N}}_])(?:{words})(?![\p{{L}}\p{{N}}_])(?:[^\p{{L}}\p{{N}}_]+[\p{{L}}\p{{N}}_]+){{0,{CONTEXT_WORDS - 1}}}[^\p{{L}}\p{{N}}_]*$"
+        return F.when(F.right(before, F.lit(CONTEXT_CHARS)).rlike(near), float(self.raised)).otherwise(float(self.score))
+
+
+# Words before a match among which its context stands, and characters at most.
+CONTEXT_WORDS = 5
+CONTEXT_CHARS = 100
+
+
+def _weak(entity_type: str, pattern: str, score: float, *context: str) -> PatternDetector:
+    return PatternDetector(entity_type, pattern, score, hint="(?i)" + "|".join(context), context=context, raised=0.75)
 
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|[01]?\d?\d)"
@@ -117,6 +205,11 @@ PATTERN_DETECTORS = (
                     r"|\b\d{3}[.-]\d{3}[.-]\d{4}\b",
                     0.75, hint=_DIGITS + r"|\+\d|\d-\d"),
     PatternDetector("MEDICAL_LICENSE", r"\b[ABCDEFGHJKLMNPQRSTUX][A-Z9]\d{7}\b", 1.0, hint=_DIGITS, valid=dea_valid),
+    PatternDetector("CRYPTO", r"\b(?:[13][1-9A-HJ-NP-Za-km-z]{25,34}|bc1[02-9ac-hj-np-z]{11,71}|BC1[02-9AC-HJ-NP-Z]{11,71})\b", 1.0,
+                    hint=r"\b(?:[13][1-9A-HJ-NP-Za-km-z]{25}|bc1[02-9ac-hj-np-z]{11}|BC1[02-9AC-HJ-NP-Z]{11})", valid=crypto_valid),
+    _weak("US_BANK_NUMBER", r"\b\d{8,17}\b", 0.05, "account", "accounts", "acct", "bank", "debit", "savings", "checking"),
+    _weak("US_PASSPORT", r"\b(?:[A-Z]\d{8}|\d{9})\b", 0.1, "passport", "passports", "travel document"),
+    _weak("US_DRIVER_LICENSE", r"\b(?:[A-Z]{1,2}\d{4,14}|\d{7,9}[A-Z]{1,2}|\d{2}[A-Z]{3}\d{5,6})\b", 0.3, "driver", "drivers", "driving", "license", "licence", "permit"),
 )
 
 

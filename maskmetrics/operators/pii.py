@@ -65,19 +65,27 @@ def _pattern_spans(text: Column, detector: PatternDetector) -> Column:
 
     def located(found: Column) -> Column:
         # Both lists come from the same scan order: gap, match, gap, match, .. gap.
-        pairs = F.filter(F.zip_with(F.split(text, detector.pattern, -1), found, lambda g, h: F.struct(
-            F.char_length(g).alias("gap"), h.alias("hit"))), lambda p: p["hit"].isNotNull())
+        if detector.context:
+            pairs = bind(F.split(text, detector.pattern, -1), lambda gaps: F.transform(found, lambda h, i: F.struct(
+                F.char_length(F.get(gaps, i)).alias("gap"), h.alias("hit"), detector.score_behind(before(gaps, found, i)).alias("score"))))
+        else:
+            pairs = F.filter(F.zip_with(F.split(text, detector.pattern, -1), found, lambda g, h: F.struct(
+                F.char_length(g).alias("gap"), h.alias("hit"))), lambda p: p["hit"].isNotNull())
         spans = bind(pairs, lambda known: F.zip_with(known, totals_before(F.transform(
             known, lambda p: p["gap"] + F.char_length(p["hit"])), lambda a, x: a + x), span))
         if detector.valid is not None:
             spans = F.filter(spans, lambda s: detector.valid(s["text"]))
         return F.when(F.size(found) > 0, spans).otherwise(nothing)
 
+    def before(gaps: Column, found: Column, i: Column) -> Column:
+        """What stands between the last match but one and this one: a list of numbers shares its context."""
+        return F.concat(F.coalesce(F.get(gaps, i - 1), F.lit("")), F.coalesce(F.get(found, i - 1), F.lit("")), F.get(gaps, i))
+
     def span(pair: Column, at: Column) -> Column:
         begin = at + pair["gap"]
         return F.struct(begin.alias("start"), (begin + F.char_length(pair["hit"])).alias("end"),
                         F.lit(detector.entity_type).alias("entity_type"),
-                        F.lit(float(detector.score)).alias("score"), pair["hit"].alias("text"))
+                        (pair["score"] if detector.context else F.lit(float(detector.score))).alias("score"), pair["hit"].alias("text"))
 
     return F.when(may_match(text, detector), bind(tokens(text, detector.pattern), located)) \
         .otherwise(nothing)
@@ -177,7 +185,7 @@ def detect_pii(df: DataFrame, column: str, detectors: Sequence[PatternDetector]
     """
     df, text = spread_small(df), F.col(column)
     wanted = DEFAULT_TYPES if types is None else tuple(types)
-    detectors = [d for d in detectors if d.entity_type in wanted and d.score >= threshold]
+    detectors = [d for d in detectors if d.entity_type in wanted and d.best >= threshold]
     parts = [_pattern_spans(text, d) for d in detectors]
     worth_it = may_match(text, *detectors)
     if plugin is not None and plugin.enabled and plugin.find is not None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from maskmetrics.functions.pii_rules import PATTERN_DETECTORS, is_false_positive
 from maskmetrics.operators.pii import (
@@ -31,8 +31,8 @@ def _spans_sql(source: str = "SELECT doc_id, source, text FROM documents") -> st
     overlaps is dropped (no chains of overlaps occur in the data)."""
     parts = []
     for d in PATTERN_DETECTORS:
-        if d.entity_type == "IBAN_CODE":
-            continue  # no such value in the data; its checksum is tested on fixtures
+        if d.entity_type in ("IBAN_CODE", "CRYPTO") or d.context:
+            continue  # no such value in the documents; they have a query and fixtures of their own
         p = d.pattern.replace("'", "''")
         parts.append(f"SELECT doc_id, source, '{d.entity_type}' AS entity_type, {d.score} AS score, "
                      f"regexp_extract_all(text, '{p}') AS m, string_split_regex(text, '{p}') AS g FROM docs "
@@ -184,3 +184,43 @@ def plugin_detections(spark: SparkSession, d: str) -> DataFrame:
     notes = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("by «"), "c_name", F.lit("»"), broken).alias("note"))
     found = detect_pii(notes, "note", plugin=PluginDetector("quoted", _find_quoted), errors="error")
     return found.select("c_custkey", F.size("spans").alias("persons"), "error")
+
+
+# Published addresses with valid checksums; with their last character changed they have none.
+ADDRESSES = ("1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "3J98t1WpEZ73CNmQviecrnyiWrnqRhWNLy", "bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t4",
+             "bc1p0xlxvlhemja6c4dqv22uapctqupfhlxm9h8z3k2e72q4k9hcz7vqzk5jj0")
+# Text before and behind a value of an order, and the type and score that are found there, if any.
+_CASES = (("pay to ", "address", "", "CRYPTO", 1.0), ("pay to ", "wrong", "", None, 0.0), ("from the account with number ", "number", " today", "US_BANK_NUMBER", 0.75),
+          ("on the counter with number ", "number", " today", None, 0.0), ("Passport: ", "passport", ", seen", "US_PASSPORT", 0.75),
+          ("Part ", "passport", ", seen", None, 0.0), ("driver's license (CA) ", "licence", "", "US_DRIVER_LICENSE", 0.75),
+          ("account, as you said when we met, ", "number", "", None, 0.0))
+
+
+def _cased_values(key: Column) -> dict[str, Column]:
+    text, address = key.cast("string"), F.get(F.array(*map(F.lit, ADDRESSES)), (F.floor(key / 8) % len(ADDRESSES)).cast("int"))
+    return {"address": address, "wrong": F.concat(F.substring(address, F.lit(1), F.char_length(address) - 1), F.lit("z")),
+            "number": F.concat(F.lit("9"), F.lpad(text, 9, "0")), "passport": F.concat(F.lit("X"), F.lpad(text, 8, "0")),
+            "licence": F.concat(F.lit("Y"), F.lpad(text, 7, "0"))}
+
+
+def _context_notes(orders: DataFrame) -> DataFrame:
+    values = _cased_values(F.col("o_orderkey"))
+    said = F.array(*(F.concat(F.lit(a), values[v], F.lit(b)) for a, v, b, _, _ in _CASES))
+    return orders.select("o_orderkey", F.get(said, (F.col("o_orderkey") % len(_CASES)).cast("int")).alias("text"))
+
+
+def _context_sql() -> str:
+    address = "[" + ", ".join(f"'{a}'" for a in ADDRESSES) + f"][CAST(o_orderkey // 8 % {len(ADDRESSES)} AS INTEGER) + 1]"
+    values = {"address": address, "wrong": "''", "number": "'9' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0')", "passport": "'X' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0')",
+              "licence": "'Y' || lpad(CAST(o_orderkey AS VARCHAR), 7, '0')"}
+    return " UNION ALL ".join(
+        f"SELECT o_orderkey, '{kind}' AS entity_type, CAST({len(a)} AS INTEGER) AS start, CAST({len(a)} + length({values[v]}) AS INTEGER) AS \"end\", "
+        f"CAST({score} AS DOUBLE) AS score, {values[v]} AS text FROM orders WHERE o_orderkey % {len(_CASES)} = {i}"
+        for i, (a, v, b, kind, score) in enumerate(_CASES) if kind)
+
+
+@query(_context_sql())
+def values_with_checksum_or_context(spark: SparkSession, d: str) -> DataFrame:
+    """Wallet addresses by their checksums; bank, passport and licence numbers only where the words before them say so."""
+    spans = explode_spans(detect_pii(_context_notes(table(spark, d, "orders")), "text"), "o_orderkey")
+    return spans.select("o_orderkey", "s.entity_type", "s.start", "s.end", "s.score", "s.text")

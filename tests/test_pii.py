@@ -53,7 +53,7 @@ def test_spans_agree_with_python_on_random_texts(spark):
     texts = [" ".join("".join(rng.choices(pieces, k=2)) for _ in range(12)) for _ in range(200)]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     for detector in PATTERN_DETECTORS:
-        if detector.valid is not None or detector.entity_type == "IP_ADDRESS":
+        if detector.valid is not None or detector.context or detector.entity_type == "IP_ADDRESS":
             continue
         got = {r["id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in detect_pii(df, "t", [detector]).collect()}
         for i, t in enumerate(texts):
@@ -142,3 +142,40 @@ def test_very_many_values_in_one_text(spark):
     assert len(spans) == n and all(text[s["start"]:s["end"]] == s["text"] for s in spans)
     done = replace_spans(found, "t", assign_tokens(found, "id")).first()["t"]
     assert done == " é ".join(f"<EMAIL_ADDRESS_{n - i}>" for i in range(n))
+
+
+def test_wallet_addresses_need_their_checksum(spark):
+    from maskmetrics.functions.pii_rules import base58_hex, crypto_valid
+    good = ["1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "1BvBMSEYstWetqTFn5Au4m4GFg7xJaNVN2", "3J98t1WpEZ73CNmQviecrnyiWrnqRhWNLy", "1111111111111111111114oLvT2",
+            "bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t4", "BC1QW508D6QEJXTDG4Y5R3ZARVARY0C5XW7KV8F3T4",
+            "bc1p0xlxvlhemja6c4dqv22uapctqupfhlxm9h8z3k2e72q4k9hcz7vqzk5jj0"]
+    bad = ["1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNb", "11A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "3J98t1WpEZ73CNmQviecrnyiWrnqRhWNLz",
+           "bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t5", "bc1QW508D6QEJXTDG4Y5R3ZARVARY0C5XW7KV8F3T4", "bc1p0xlxvlhemja6c4dqv22uapctqupfhlxm9h8z3k2e72q4k9hcz7vqzk5jj2"]
+    df = spark.createDataFrame([(a, i < len(good)) for i, a in enumerate(good + bad)], "a string, ok boolean")
+    assert df.where(crypto_valid(F.col("a")) != F.col("ok")).collect() == []
+    digits = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+    for r in df.where("a LIKE '1%' OR a LIKE '3%'").select("a", base58_hex(F.col("a")).alias("h")).collect():
+        value = 0
+        for c in r["a"]:
+            value = value * 58 + digits.index(c)
+        assert int(r["h"], 16) == value and len(r["h"]) == 54
+    text = "old 1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa, bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t4 and 1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNb."
+    spans = detect_pii(spark.createDataFrame([(text,)], "t string"), "t").first()["spans"]
+    assert [(s["entity_type"], s["text"]) for s in spans] == [("CRYPTO", good[0]), ("CRYPTO", good[4])]
+
+
+def test_weak_patterns_pass_with_their_context_only(spark):
+    cases = {
+        "Bank account: 12345678": [("US_BANK_NUMBER", "12345678")], "BANK 123456789012345678": [], "12345678 is the account": [],
+        "my bank, as I said to you all, 12345678": [], "accounts 12345678, 23456789": [("US_BANK_NUMBER", "12345678"), ("US_BANK_NUMBER", "23456789")],
+        "accountant 12345678": [], "passport X12345678 ok": [("US_PASSPORT", "X12345678")], "passport 123456789": [], "X12345678": [],
+        # Shapes that are never personal stay out even in context: hexadecimal ids and plain numbers.
+        "passport A12345678": [], "driving licence no. Y1234567": [("US_DRIVER_LICENSE", "Y1234567")], "driver 1234567YZ": [("US_DRIVER_LICENSE", "1234567YZ")],
+        "permit Y123": [], "": [], "account " + "x" * 200 + " 12345678": []}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)] + [(900, None)], "id int, t string")
+    got = {r["id"]: [(s["entity_type"], s["text"]) for s in r["spans"] or ()] for r in detect_pii(df, "t").collect()}
+    assert got == {i: want for i, want in enumerate(cases.values())} | {900: []}
+    long = "account 12345678 " * 3_000
+    spans = detect_pii(spark.createDataFrame([(long,)], "t string"), "t").first()["spans"]
+    assert len(spans) == 3_000 and spans[-1]["end"] == len(long) - 1
+    assert all(not r["spans"] for r in detect_pii(df, "t", threshold=0.8).collect())
