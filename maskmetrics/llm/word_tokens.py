@@ -15,42 +15,64 @@ from maskmetrics.llm.huffman import pack
 from maskmetrics.llm.pieces import PieceIds
 from maskmetrics.session import ship
 
-SIMPLE = re.compile(rb"([A-Za-z]+)([.,|!?;:]?)")
+# Letters of ASCII and Latin-1, then marks that form one piece of their own; no apostrophe, which may begin an
+# ending, and no "<", which may begin a special token.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in the vocabulary: printable ones for themselves, the others from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(own)]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class ChunkTokenizer:
     """Encodes runs between ASCII blanks; for tokenizers whose rules never look over a blank.
 
     Its normalizer may compose, lower-case and unify white space, its splitter drops white
-    space. A plain word of ASCII letters is only lower-cased and not split, so it goes to the
-    model of the library at once; a mark behind it is a piece of its own.
+    space and its letters are bytes. A plain word is only lower-cased and not split, so it goes to the model of the
+    library at once; the marks behind it are a piece of their own. Strings of special tokens get their
+    ids, as in a plain call of the library.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_str(definition)
-        # Strings of special tokens are ordinary text when met in a text.
-        self._whole.encode_special_tokens = True
         self._model = self._whole.model
-        self._marks = {m: self._ids(m.decode()) for m in (b".", b",", b"|", b"!", b"?", b";", b":")} | {b"": []}
+        letters = _byte_letters()
+        # A letter of Latin-1 is two bytes.
+        self._written = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(128, 256)}
+        self._marks: dict[str, list[int]] = {"": []}
         self._pieces = PieceIds(self._encode)
 
     def _ids(self, text: str) -> list[int]:
         return self._whole.encode(text, add_special_tokens=False).ids
 
+    def _ids_of_marks(self, marks: str) -> list[int]:
+        found = self._marks.get(marks)
+        if found is None:
+            found = self._ids(marks)
+            if len(marks) < 8:  # few different ones; longer runs are not remembered
+                self._marks[marks] = found
+        return found
+
     def _encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         found: list[list[int] | None] = []
         hard: list[int] = []
-        for chunk in chunks:
-            plain = SIMPLE.fullmatch(chunk)
+        texts = [c.decode() for c in chunks]
+        for text in texts:
+            plain = SIMPLE.fullmatch(text)
             if plain:
-                found.append([t.id for t in self._model.tokenize(plain[1].lower().decode())] + self._marks[plain[2]])
+                word = plain[1].lower()
+                if not word.isascii():
+                    word = word.translate(self._written)
+                found.append([t.id for t in self._model.tokenize(word)] + self._ids_of_marks(plain[2]))
             else:
                 hard.append(len(found))
                 found.append(None)
-        for i, encoding in zip(hard, self._whole.encode_batch_fast([chunks[i].decode() for i in hard],
-                                                                   add_special_tokens=False)):
+        for i, encoding in zip(hard, self._whole.encode_batch_fast([texts[i] for i in hard], add_special_tokens=False)):
             found[i] = encoding.ids
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum())), sizes
@@ -60,8 +82,9 @@ class ChunkTokenizer:
         chunks: list[bytes] = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            # In a text of ASCII alone nothing is composed: lower-casing it first changes no id.
-            some = (text.lower() if text.isascii() else text).split()
+            # In a text of ASCII alone nothing is composed: lower-casing it first changes no id, but
+            # might make a special token, which is told apart by case.
+            some = (text.lower() if text.isascii() and b"<|" not in text else text).split()
             counts[i] = len(some)
             chunks += some
         ids, sizes = self._pieces.look_up(chunks)

@@ -55,18 +55,17 @@ def test_round_trip_of_a_block(n):
 def _texts():
     rng = random.Random(9)
     pool = ["the of and ", "ABC xyz", "'s't DON'T I'll ", "éèÇ Ñß İI ς Σ", "ÀÖØßÿ÷×ªº µ", "a1b22.é!!", "###", "'é", "0123 ", "漢字 한글", "🙂 ‍👍🏽", "   \x1c\x85", "\t\n\x0b", "́̇̊", "a.b, c| ..",
-            "<|endoftext|> <|startoftext|>", "\x00\x01"]
+            "<|endoftext|> <|startoftext|>", "\x00\x01", "<|EndOfText|>", "ÀÉÍßÿ***", "word!!&&", "mita$$$"]
     for _ in range(800):
         letters = "".join(rng.sample(pool, rng.randint(1, 3)))
         yield "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
-    yield from ("", " ", "<|endoftext|>", "x" * 3000, "Ab" * 900, "word. word, WORD! a|b", "don't've", "H\u0331ello H\u0331 The", "." * 300)
+    yield from ("", " ", "<|endoftext|>", "hello <|endoftext|> world", "a<|startoftext|>b<|ENDOFTEXT|>", "Ciónasta,### größe&&& ÀÍÑ!! straße", "x" + "#" * 3000, "x" * 3000, "Ab" * 900, "word. word, WORD! a|b", "don't've", "H\u0331ello H\u0331 The", "." * 300)
 
 
 def test_ids_are_those_of_the_whole_text():
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(WORDS)
-    whole.encode_special_tokens = True
     ours = ChunkTokenizer(open(WORDS, encoding="utf-8").read())
     texts = list(_texts())
     ids, counts = ours.encode([t.encode() for t in texts])
@@ -79,7 +78,6 @@ def test_file_of_rows(spark, tmp_path, monkeypatch):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(WORDS)
-    whole.encode_special_tokens = True
     rng = random.Random(4)
     rows = [(i * 7 % 101, "the quick brown fox " * rng.randint(0, 90)) for i in range(101)]
     rows += [(3, "again"), (3, "again"), (5, None), (None, ""), (102, "z" * 4000)]
