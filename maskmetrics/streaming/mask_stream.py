@@ -14,10 +14,7 @@ from maskmetrics.operators.ordering import dense_index
 from maskmetrics.operators.pii import TokenTable, detect_pii, explode_spans, replace_spans, value_key
 from maskmetrics.operators.registry import Registry, extended, new_entries
 from maskmetrics.session import settle
-
-
-def _read(spark, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+from maskmetrics.streaming.delta_log import DeltaLog
 
 
 TOKEN_SCHEMA = "alias string, value string, entity_type string, n long, norm string, sightings long"
@@ -30,9 +27,9 @@ class StreamMasker:
     """State of a masked stream: what each batch adds to dictionary and tokens.
 
     Batch ``b`` writes only its new entries, under ``batch_id=b``, before its rows, and reads
-    those of the batches before it. Replaying a batch after a failure overwrites its own
-    folders with the same content, so every batch takes effect once, and the state is as
-    large as what was learned.
+    those of the batches before it, of which a ``DeltaLog`` makes few segments. Replaying a batch
+    after a failure overwrites its own folders with the same content, so every batch takes
+    effect once, and the state is as large as what was learned.
     """
 
     registry: Registry
@@ -41,36 +38,29 @@ class StreamMasker:
     pii_column: str | None = None
     key: str | None = None                         # orders rows for token numbering
 
-    def _part(self, name: str, batch: int) -> str:
-        return f"{self.target}/{name}/batch_id={batch}"
-
-    def _before(self, spark, name: str, batch: int, schema: str) -> DataFrame:
-        """The entries of all batches before ``batch``; partition pruning leaves out later ones."""
-        if batch == 0:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(f"{schema}, batch_id long").parquet(f"{self.target}/{name}") \
-            .where(F.col("batch_id") < batch).drop("batch_id")
+    def _log(self, name: str, schema: str) -> DeltaLog:
+        return DeltaLog(self.target, name, schema)
 
     def _learn(self, spark, rows: DataFrame, batch: int) -> Registry:
         """The dictionary with the names of this batch, which are written."""
+        entries, sizes = self._log("registry", REGISTRY_SCHEMA), self._log("sizes", SIZE_SCHEMA)
         # One row per batch: the sizes are carried along instead of measured anew.
-        grown = self._before(spark, "sizes", batch, SIZE_SCHEMA).agg(F.sum("rows"), F.sum("chars")).first()
+        grown = sizes.before(spark, batch).agg(F.sum("rows"), F.sum("chars")).first()
         size = Size(self.registry.size.rows + (grown[0] or 0), self.registry.size.chars + (grown[1] or 0))
-        known = self.registry.df.unionByName(self._before(spark, "registry", batch, REGISTRY_SCHEMA))
+        known = self.registry.df.unionByName(entries.before(spark, batch))
         first = registry = replace(self.registry, df=known, size=size)
-        added = None
+        added = spark.createDataFrame([], REGISTRY_SCHEMA)
         for column, category in self.names:
             new = new_entries(registry, rows, column, category)
             registry = extended(registry, new)
-            added = new.df if added is None else added.unionByName(new.df)
-        path = self._part("registry", batch)
-        (spark.createDataFrame([], REGISTRY_SCHEMA) if added is None else added).write.mode("overwrite").parquet(path)
-        spark.createDataFrame([(registry.size.rows - size.rows, registry.size.chars - size.chars)], SIZE_SCHEMA) \
-            .write.mode("overwrite").parquet(self._part("sizes", batch))
-        return replace(first, df=known.unionByName(_read(spark, path, REGISTRY_SCHEMA)), size=registry.size)
-
-    def _more_tokens(self, known: DataFrame, detected: DataFrame) -> DataFrame:
-        """Only the tokens of values seen for the first time, numbered after those of their type."""
+            added = added.unionByName(new.df)
+        fresh = registry.size.rows - size.rows
+        learned = entries.add(batch, added, fresh)
+        sizes.add(batch, spark.createDataFrame([(fresh, registry.size.chars - size.chars)], SIZE_SCHEMA), 1)
+        return replace(first, df=self.registry.df.unionByName(learned), size=registry.size)
+
+    def _more_tokens(self, known: DataFrame, detected: DataFrame) -> tuple[DataFrame, int]:
+        """Only the tokens of values seen for the first time, numbered after those of their type; and how many."""
         first = explode_spans(detected, F.col(self.key).alias("doc")).select(
             value_key(F.col("s.text")).alias("norm"), "s.entity_type", "s.text", "doc",
             (-F.col("s.start")).alias("back")).groupBy("norm").agg(
@@ -78,13 +68,13 @@ class StreamMasker:
         fresh = first.join(known.select("norm"), "norm", "left_anti").select(
             "norm", "sightings", "f.doc", "f.back", F.col("f.entity_type").alias("entity_type"),
             F.col("f.text").alias("value"))
-        numbered = dense_index(fresh, ["entity_type"], ["doc", "back", "norm"], "i").df
+        numbered = dense_index(fresh, ["entity_type"], ["doc", "back", "norm"], "i")
         # One row per entity type: a handful.
         used = known.groupBy("entity_type").agg(F.max("n").alias("used"))
         n = F.coalesce("used", F.lit(0)) + F.col("i") + 1
-        added = numbered.join(F.broadcast(used), "entity_type", "left").withColumn("n", n.cast("long"))
+        added = numbered.df.join(F.broadcast(used), "entity_type", "left").withColumn("n", n.cast("long"))
         alias = F.concat(F.lit("<"), "entity_type", F.lit("_"), F.col("n").cast("string"), F.lit(">"))
-        return added.select(alias.alias("alias"), "value", "entity_type", "n", "norm", "sightings")
+        return added.select(alias.alias("alias"), "value", "entity_type", "n", "norm", "sightings"), numbered.rows
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -93,10 +83,8 @@ class StreamMasker:
         masked = mask_table(rows, registry)
         if self.pii_column is not None:
             detected = settle(detect_pii(masked, self.pii_column), "detected")
-            known = self._before(spark, "tokens", batch_id, TOKEN_SCHEMA)
-            path = self._part("tokens", batch_id)
-            self._more_tokens(known, detected).write.mode("overwrite").parquet(path)
-            tokens = known.unionByName(_read(spark, path, TOKEN_SCHEMA))
+            log = self._log("tokens", TOKEN_SCHEMA)
+            tokens = log.add(batch_id, *self._more_tokens(log.before(spark, batch_id), detected))
             masked = replace_spans(detected, self.pii_column, TokenTable(tokens, measure(tokens, "alias", "value")))
         masked.write.mode("overwrite").parquet(f"{self.target}/rows/batch_id={batch_id}")
 
