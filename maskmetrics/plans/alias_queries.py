@@ -404,6 +404,19 @@ def sessions_after_expiry(spark: SparkSession, d: str) -> DataFrame:
     return store.stats().select("session_id")
 
 
+@query(f"WITH {_SESSIONS} SELECT 'Client_' || c_custkey AS alias, c_name AS value, 'nation-' || c_nationkey AS session_id FROM customer "
+       "WHERE 'nation-' || c_nationkey = (SELECT session_id FROM sessions ORDER BY created DESC, session_id DESC LIMIT 1)")
+def latest_mapping_beside_torn_saves(spark: SparkSession, d: str) -> DataFrame:
+    """Saves that ended before they were whole are not seen: neither a new session nor a replaced one."""
+    store = session_store(spark, d)
+    latest = store.latest_session()
+    late = F.lit("2099-01-01").cast("timestamp").alias("created")
+    other = table(spark, d, "supplier").select(F.lit("Client_0").alias("alias"), F.col("s_name").alias("value"), late, F.explode(F.array(F.lit("torn"), F.lit(latest))).alias("session_id"))
+    stats = other.select(F.lit(1).cast("long").alias("registry_entities"), F.lit(0).cast("long").alias("detections"), F.lit(False).alias("degraded"), late, "session_id").distinct()
+    store.write(other, stats)
+    return store.load_latest().select("alias", "value", "session_id")
+
+
 @query("SELECT 'Client_' || c_custkey AS alias, c_name AS value FROM customer")
 def mapping_read_from_json(spark: SparkSession, d: str) -> DataFrame:
     """Mapping files come flat or wrapped; one JSON text per customer here."""
