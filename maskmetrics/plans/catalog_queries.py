@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from maskmetrics.functions.columns import classify_column, classify_unprotected_column, normalize_column_name
 from maskmetrics.operators.catalog import (
-    decode_parts, definition_text, detect_sensitive_columns, detect_unprotected_columns, list_catalog, list_named,
+    coverage_missing, decode_parts, definition_text, detect_sensitive_columns, detect_unprotected_columns, list_catalog, list_named,
     part_text, schema_columns, search_with_context, unprotected_warnings)
 from maskmetrics.operators.registry import SensitiveColumn, build_registry
 from maskmetrics.plans.facts import table
@@ -145,3 +145,18 @@ def definition_texts(spark: SparkSession, d: str) -> DataFrame:
         "conv_id", "turn", F.concat(F.lit("turn/"), F.col("turn").cast("string")).alias("path"),
         F.base64(F.encode("text", "UTF-8")).alias("payload"), F.lit("InlineBase64").alias("payload_type"))
     return definition_text(decode_parts(parts), "conv_id", "turn")
+
+
+# Which columns of a table are configured as names.
+_CONFIGURED = {"customer": ("c_name",), "supplier": ("s_name",), "part": (), "orders": ()}
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS name, {'true' if not c else 'false'} AS unprotected, COUNT(*) AS rows FROM {t}" for t, c in _CONFIGURED.items()))
+def tables_without_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Tables that would leave with their real names, for nothing is configured for them, and the rows that this concerns."""
+    counts = None
+    for name, columns in _CONFIGURED.items():
+        missing = coverage_missing([SensitiveColumn("client", name, c) for c in columns])
+        one = table(spark, d, name).agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), F.lit(missing).alias("unprotected"), "rows")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts

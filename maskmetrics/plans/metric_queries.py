@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from maskmetrics.operators.distinct import SketchStore, distinct_over, distinct_sketches, error_bound
 from maskmetrics.operators.metrics import (
     apply_filters, breakdown, formatted, gauges, kpis, masked_table, metric_parts, monthly, ranked_table,
     ranking, slug, summary, trend)
@@ -14,6 +17,8 @@ from maskmetrics.operators.registry import SensitiveColumn, build_registry
 from maskmetrics.plans import fact_sql, facts
 from maskmetrics.plans.dashboards import DASHBOARDS
 from maskmetrics.plans.registered import query
+from maskmetrics.session import scratch_root
+from maskmetrics.sources.dashboard_spec import read_dashboard_spec
 
 
 @dataclass(frozen=True)
@@ -172,3 +177,40 @@ def report_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(facts.surveys(spark, sf_dir),
                    {"surveys": "sum:t_total", "score": "wavg:csat_sum:csat_n"})
+
+
+def _described(key: str) -> str:
+    """A dashboard as its JSON description."""
+    board = DASHBOARDS[key]
+    columns = [{"label": "#", "type": "rank"}, {"label": "Name", "type": "name"}]
+    for c in board.columns:
+        kind, *fields = metric_parts(c.metric)
+        columns.append({"label": c.label, "format": c.format, **({"field": fields[0]} if kind == "sum" else {"type": "derived", "calc": "/".join(fields)})})
+    return json.dumps({
+        "title": board.title, "kpi_rows": [[{"label": k.label, "metric": k.metric, "format": k.format}] for k in board.kpis],
+        "table": {"columns": columns, "sort": board.sort, "limit": board.limit}})
+
+
+@query(_table_sql(DASHBOARDS["sla_performance"], SOURCES["sla_performance"]))
+def described_dashboard_table(spark: SparkSession, d: str) -> DataFrame:
+    """The ranked table of a dashboard that is read from its description, a file in the shared folder."""
+    path = f"{scratch_root(spark)}/maskmetrics/dashboard-{uuid.uuid4().hex}"
+    spark.createDataFrame([(_described("sla_performance"),)], "value string").coalesce(1).write.text(path)
+    source = SOURCES["sla_performance"]
+    return ranked_table(source.fact(spark, d), read_dashboard_spec(path, spark), source.key, source.names(spark, d), source.name)
+
+
+@query("SELECT EXTRACT(year FROM o_orderdate) AS year, EXTRACT(quarter FROM o_orderdate) AS quarter, o_orderpriority, COUNT(DISTINCT o_custkey) AS companies, "
+       "true AS within_bound FROM orders GROUP BY 1, 2, 3")
+def kept_distinct_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Companies per quarter and priority from the sketches kept per month, within the error bound of the exact counts."""
+    orders = facts.table(spark, d, "orders")
+    store = SketchStore(spark, f"{scratch_root(spark)}/maskmetrics/sketches-{uuid.uuid4().hex}", "month")
+    store.save(distinct_sketches(orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM")), ["month", "o_orderpriority"], "o_custkey"))
+    month = F.to_date(F.concat(F.col("month"), F.lit("-01")))
+    kept = distinct_over(store.load(), [F.year(month).alias("year"), F.quarter(month).alias("quarter"), "o_orderpriority"], "about")
+    exact = orders.groupBy(F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"), "o_orderpriority").agg(
+        F.count_distinct("o_custkey").alias("companies"))
+    # Small counts are exact but for rounding.
+    within = F.abs(F.col("about") - F.col("companies")) <= F.greatest(F.lit(1.0), error_bound() * F.col("companies"))
+    return exact.join(kept, ["year", "quarter", "o_orderpriority"]).select("year", "quarter", "o_orderpriority", "companies", within.alias("within_bound"))

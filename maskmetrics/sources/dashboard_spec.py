@@ -1,10 +1,12 @@
-"""Reading a dashboard from its JSON description; a driver-side file of a few kilobytes."""
+"""Reading a dashboard from its JSON description, a file of a few kilobytes."""
 
 from __future__ import annotations
 
 import json
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
 from maskmetrics.operators.metrics import Dashboard, Gauge, Kpi, Series, TableColumn
 
 
@@ -16,8 +18,15 @@ def _as_metric(entry: dict) -> str:
     return "ratio:" + entry["calc"].replace("/", ":")
 
 
-def read_dashboard_spec(path: str | Path) -> Dashboard:
-    spec = json.loads(Path(path).read_text(encoding="utf-8"))
+def read_dashboard_spec(path: str | Path, spark: SparkSession | None = None) -> Dashboard:
+    """The dashboard that a file describes: a file of the driver or, with ``spark``, of any store that Spark reads."""
+    if spark is None:
+        return dashboard_of(Path(path).read_text(encoding="utf-8"))
+    return dashboard_of(spark.read.text(str(path), wholetext=True).first()[0])
+
+
+def dashboard_of(text: str) -> Dashboard:
+    spec = json.loads(text)
     table = spec["table"]
     shown = [c for c in table["columns"] if c.get("type") not in ("rank", "name")]
     named = [c["label"] for c in table["columns"] if c.get("type") == "name"]
