@@ -41,9 +41,9 @@ ALLOWED_WORDS = (
 
 # Shapes that are never personal data.
 GUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-HEX_ID = r"(?i)^(?=.*[a-f])[0-9a-f]{8,}$"
+HEX_ID = r"(?i)^(?=[0-9a-f]*[a-f])[0-9a-f]{8,}$"
 NUMBER_OR_DATE = r"^\d[\dT.,:/ \-]*$"
-PRIORITY_LABEL = r"(?i)^P[1-4](?!\w)"
+PRIORITY_LABEL = r"(?iU)^P[1-4]\b"
 
 
 def is_false_positive(text: Column | str, entity_type: Column | str) -> Column:
