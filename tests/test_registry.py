@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from maskmetrics.functions.text import default_alias, normalize
-from maskmetrics.operators.lookup import Size
+from maskmetrics.operators.lookup import Size, salted_join
 from maskmetrics.operators.ordering import dense_index, running, running_dense_rank, running_rank, running_sum
 from maskmetrics.operators.registry import (
     SensitiveColumn, alias_value, build_registry, category_counts, match_order, register_dynamic, registry_stats,
@@ -120,3 +120,12 @@ def test_running_windows_on_a_hot_group(spark):
         assert rank == 1 + sum(x > v for x in group)
         assert dense == 1 + len({x for x in group if x > v})
     assert got.count() == 900
+
+
+def test_copies_of_a_dictionary_are_never_broadcast(spark):
+    """The planner sees a small file and would build all copies on the driver."""
+    rows = spark.range(50).select((F.col("id") % 5).alias("k"), "id")
+    dictionary = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    joined = salted_join(rows, dictionary, ["k"], F.col("id"), "inner")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, joined.select("id", "v").collect())) == [(i, i % 5 * 10) for i in range(50)]
