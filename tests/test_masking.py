@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from maskmetrics.operators import masking
 from maskmetrics.functions.matcher import Matcher
 from maskmetrics.operators.masking import holds_text, mask_json, mask_nested, mask_plan, mask_table, mask_text
 
@@ -118,3 +119,24 @@ def test_json_values_change_and_keys_do_not(spark, registry_of):
     for plan in PLANS:
         got = [x["j"] for x in mask_json(df, "j", r, plan).orderBy("id").collect()]
         assert got == ['{"k" : ["Client_A", 1.50, null, {"a": "Client_B\\n: Client_B"}], "k:": "é\\u0041"}', None, "[]", "no json"], plan
+
+
+def test_large_plan_moves_no_digest_of_a_text(spark, registry_of):
+    """Texts and runs meet by their hashes; digests and words would be most of what is written."""
+    registry = registry_of(client=["Acme Corp", "Zed"])
+    df = spark.createDataFrame([(1, "by Acme Corp"), (2, "zed and ACME corp"), (3, "nobody"), (4, None)], "id int, text string")
+    masked = mask_text(df, "text", registry, "large")
+    written = re.findall(r"Relation \[([^\]]*)\]", masked._jdf.queryExecution().optimizedPlan().toString())
+    assert any("_runs#" in w for w in written) and not any("_key#" in w for w in written)
+    assert dict(map(tuple, masked.collect())) == {1: "by Client_A", 2: "Client_B and Client_A", 3: "nobody", 4: None}
+
+
+def test_entries_of_other_texts_change_nothing(spark, registry_of, monkeypatch):
+    """With one hash for all texts and runs every text gets every entry, and says the same."""
+    registry = registry_of(client=["Acme Corp", "Zed", "Acme"])
+    df = spark.createDataFrame([(1, "by Acme Corp"), (2, "zed and ACME corp"), (3, "acme")], "id int, text string")
+    one = F.lit(7).cast("long")
+    monkeypatch.setattr(masking.F, "xxhash64", lambda *c: one)
+    monkeypatch.setattr(masking, "key_filter", lambda *a: lambda c: F.lit(True))
+    masked = mask_text(df, "text", registry, "large").collect()
+    assert dict(map(tuple, masked)) == {1: "by Client_B", 2: "Client_C and Client_B", 3: "Client_A"}

@@ -176,3 +176,11 @@ def test_strings_in_texts_against_a_scan(spark):
     got = {r["text_key"]: {(x["string"], *x["labels"]) for x in r["found"]} for r in held_strings(df, known).collect()}
     want = {i: {(s, str(len(s))) for s in strings if s in t} for i, t in enumerate(texts)}
     assert got == {i: f for i, f in want.items() if f}
+
+
+def test_joined_values_move_no_digest_of_the_words(spark):
+    mapping = spark.createDataFrame([("Client_A", "Acme"), ("Client_B", "Zed")], "alias string, value string")
+    df = spark.createDataFrame([(1, "Client_A, Client_B, Client_A"), (2, "Client_A, Client_B, Client_A"), (3, "none"), (4, "Client_C"), (5, None)], "id int, text string")
+    restored = restore_text(df, "text", mapping, plan="join")
+    assert "sha2(" not in restored._jdf.queryExecution().optimizedPlan().toString()
+    assert dict(map(tuple, restored.collect())) == {1: "Acme, Zed, Acme", 2: "Acme, Zed, Acme", 3: "none", 4: "Client_C", 5: None}
