@@ -132,6 +132,27 @@ def neighbourhood(s: Skeletons, start: np.ndarray, end: np.ndarray, least: int)
     return np.concatenate([rows, which]), np.concatenate([hashes.whole(start, end), hashes.without(start[which], end[which], at)])
 
 
+def halves(s: Skeletons, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the first and of the second half of each stretch: one edit leaves one of them as it is."""
+    hashes, middle = Hashes(s.chars), start + (end - start) // 2
+    return hashes.whole(start, middle), hashes.whole(middle, end)
+
+
+def shares_half(s: Skeletons, start: np.ndarray, end: np.ndarray, least: int, held) -> np.ndarray:
+    """Whether a stretch may be a name, or one edit away from a name of ``least`` characters at least.
+
+    ``held`` tests hashes: of whole names, and of the halves of those of ``least`` characters.
+    """
+    hashes = Hashes(s.chars)
+    good = held(hashes.whole(start, end))
+    for change in (-1, 0, 1):
+        size = end - start + change
+        at = np.flatnonzero(~good & (size >= least))
+        a, b, half = start[at], end[at], size[at] // 2
+        good[at] = held(hashes.whole(a, a + half)) | held(hashes.whole(b - (size[at] - half), b))
+    return good
+
+
 def written(s: Skeletons, start: np.ndarray, end: np.ndarray) -> list[str]:
     """The characters of each stretch."""
     return [s.chars[a:b].tobytes().decode("utf-32-le", "surrogatepass") for a, b in zip(start.tolist(), end.tolist())]

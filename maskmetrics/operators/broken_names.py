@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from maskmetrics.functions.skeleton import neighbourhood, skeletons, stretches, written
-from maskmetrics.operators.lookup import bit_table, may_be_in, salted_join
+from maskmetrics.functions.skeleton import Hashes, halves, neighbourhood, shares_half, skeletons, stretches, written
+from maskmetrics.operators.lookup import Size, bit_table, lookup_join, may_be_in, measure
 from maskmetrics.operators.pii import SPAN, _without_overlaps, splice_spans
 from maskmetrics.operators.registry import Registry
 from maskmetrics.session import settle, ship, spread_small
@@ -21,6 +21,8 @@ LEAST_MISSPELT = 8
 MORE_PIECES = 2
 # Texts that a task holds at once, in characters.
 SLICE = 1 << 19
+# What a find counts for, in characters, where finds may be broadcast.
+SPAN_CHARS = 64
 
 
 def _values(registry: Registry, abbreviated: bool) -> DataFrame:
@@ -69,12 +71,28 @@ def deletion_index(registry: Registry, abbreviated: bool = False) -> DataFrame:
     return rows.groupBy("key", "skeleton").agg(first, F.max("pieces").alias("pieces")).select("key", "skeleton", "f.alias", "f.ordinal", "f.exact", "pieces")
 
 
+def half_table(index: DataFrame) -> np.ndarray:
+    """A bit table of the hashes of whole names and of the halves of those that may be misspelt, each by two of its parts; 32 MB at most."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = skeletons(batch.column(0).to_pylist())
+            last = np.searchsorted(s.owner, np.arange(len(batch)), side="right") - 1
+            start, end = s.starts[np.searchsorted(s.owner, np.arange(len(batch)))], s.ends[last]
+            whole, long = Hashes(s.chars).whole(start, end), end - start >= LEAST_MISSPELT
+            keys = np.concatenate([whole, *halves(s, start[long], end[long])])
+            keys = np.unique(np.concatenate([keys, keys >> np.uint64(32)]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["half"])
+
+    keys = index.select("skeleton").distinct().mapInArrow(run, "half long").distinct()
+    return bit_table(settle(keys, "name-halves"), "half", 28)
+
+
 def _digits(c: Column | str) -> Column:
     return F.regexp_replace(c, r"\P{N}", "")
 
 
 def _stretches_of(texts: DataFrame, index: DataFrame) -> DataFrame:
-    """(text_key, start, end, skeleton, key): stretches of the texts (text_key, text) with a hash that the index may hold."""
+    """(text_key, start, end, skeleton, keys): stretches of the texts (text_key, text) with hashes that the index may hold."""
     shape = index.agg(F.max("pieces").alias("p"), F.collect_set(F.char_length("skeleton")).alias("n")).first()
     sizes = np.zeros(max(shape["n"], default=0) + 3, np.bool_)
     for n in shape["n"]:
@@ -83,7 +101,7 @@ def _stretches_of(texts: DataFrame, index: DataFrame) -> DataFrame:
             sizes[n - 1:n + 2] = True
     sizes[-1] = False
     pieces = (shape["p"] or 0) + MORE_PIECES
-    shared = texts.sparkSession.sparkContext.broadcast(bit_table(index, "key"))
+    shared = texts.sparkSession.sparkContext.broadcast((half_table(index), bit_table(index, "key")))
 
     def slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
         texts_, start, held = batch.column(1).to_pylist(), 0, 0
@@ -94,19 +112,30 @@ def _stretches_of(texts: DataFrame, index: DataFrame) -> DataFrame:
                 start, held = i + 1, 0
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        half, table = shared.value
+
+        def held(hashes: np.ndarray) -> np.ndarray:
+            return may_be_in(half, hashes) & may_be_in(half, hashes >> np.uint64(32))
+
         for batch in batches:
             for keys, some in slices(batch):
                 s = skeletons(some)
                 owner, start, end = stretches(s, pieces, sizes)
+                near = shares_half(s, start, end, LEAST_MISSPELT, held)
+                owner, start, end = owner[near], start[near], end[near]
                 which, hashes = neighbourhood(s, start, end, LEAST_MISSPELT - 1)
-                good = np.flatnonzero(may_be_in(shared.value, hashes))
+                good = may_be_in(table, hashes)
                 which, hashes = which[good], hashes[good]
-                a, b = start[which], end[which]
+                order = np.argsort(which, kind="stable")
+                kept, counts = np.unique(which, return_counts=True)
+                offsets = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
+                a, b = start[kept], end[kept]
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(owner[which])), pa.array(s.place[a].astype(np.int32)), pa.array((s.place[b - 1] + 1).astype(np.int32)),
-                     pa.array(written(s, a, b), pa.string()), pa.array(hashes.view(np.int64))], names=["text_key", "start", "end", "skeleton", "key"])
+                    [keys.take(pa.array(owner[kept])), pa.array(s.place[a].astype(np.int32)), pa.array((s.place[b - 1] + 1).astype(np.int32)),
+                     pa.array(written(s, a, b), pa.string()), pa.ListArray.from_arrays(offsets, pa.array(hashes[order].view(np.int64)))],
+                    names=["text_key", "start", "end", "skeleton", "keys"])
 
-    return texts.mapInArrow(run, "text_key string, start int, end int, skeleton string, key long")
+    return texts.mapInArrow(run, "text_key binary, start int, end int, skeleton string, keys array<long>")
 
 
 def find_broken(df: DataFrame, column: str, registry: Registry, out: str = "broken", abbreviated: bool = False) -> DataFrame:
@@ -122,8 +151,9 @@ def find_broken(df: DataFrame, column: str, registry: Registry, out: str = "brok
 
     Names and text are keyed by a deletion neighbourhood: the hash of the characters, whole and without each
     letter. Two that are one edit apart share a key, so an equi-join meets them, and their edit distance is then
-    verified. A bit table of the keys, 8 MB at most, drops nearly all of the text before the join;
-    equal texts are joined once.
+    verified. Each distinct stretch is joined once, however often it stands in texts. Before the join a bit table of the
+    halves of names (one edit leaves one half as it is), 32 MB at most, and one of the keys, 8 MB at most, drop
+    nearly all of the text.
     """
     spark = df.sparkSession
     none = F.array().cast("array<struct<start:int,end:int,alias:string,text:string,edits:int>>")
@@ -131,19 +161,28 @@ def find_broken(df: DataFrame, column: str, registry: Registry, out: str = "brok
         return df.withColumn(out, none)
     ship(spark)
     index = settle(deletion_index(registry, abbreviated), "deletion-index")
-    keyed = spread_small(df).withColumn("_key", F.sha2(F.coalesce(F.col(column), F.lit("")), 256))
+    keyed = spread_small(df).withColumn("_key", F.unhex(F.sha2(F.coalesce(F.col(column), F.lit("")), 256)))
     texts = keyed.where(F.length(column) >= LEAST).select(F.col("_key").alias("text_key"), F.col(column).alias("text"))
-    met = salted_join(_stretches_of(texts, index), index.withColumnRenamed("skeleton", "name"), ["key"], F.struct("text_key", "start", "end"), "inner")
+    # The search over the texts is made once: two branches read it.
+    held = settle(_stretches_of(texts, index), "stretches")
+    asked = held.select("skeleton", F.explode("keys").alias("key")).distinct()
+    met = asked.join(index.withColumnRenamed("skeleton", "name").hint("merge"), "key")
     edits = F.levenshtein("skeleton", "name", 1)
     good = met.withColumn("edits", edits).where(
         (F.col("edits") == 0) | ((F.col("edits") == 1) & ~F.col("exact") & (F.char_length("name") >= LEAST_MISSPELT) & (_digits("skeleton") == _digits("name"))))
     # Of several names for one stretch the one with fewer edits, then the first of the dictionary.
-    one = good.groupBy("text_key", "start", "end").agg(F.min(F.struct("edits", "ordinal", "alias")).alias("f"))
+    one = settle(good.groupBy("skeleton").agg(F.min(F.struct("edits", "ordinal", "alias")).alias("f")), "named-stretches")
+    one = lookup_join(held.drop("keys"), one, ["skeleton"], F.struct("text_key", "start", "end"), measure(one, "skeleton", "f.alias"), "inner")
     span = F.struct("start", "end", F.col("f.alias").alias("entity_type"), (-F.col("f.edits")).cast("double").alias("score"), F.lit("").alias("text"))
-    per_text = one.groupBy("text_key").agg(F.collect_list(span).cast(f"array<{SPAN}>").alias("_spans"))
+    # A set: equal texts give the same spans.
+    per_text = one.groupBy("text_key").agg(F.collect_set(span).cast(f"array<{SPAN}>").alias("_spans"))
     resolved = per_text.select(F.col("text_key").alias("_key"), F.array_sort(_without_overlaps(F.col("_spans"))).alias("_spans"))
-    # One row per distinct text on the right: adaptive execution splits a text with very many copies.
-    joined = keyed.join(resolved, "_key", "left")
+    resolved = settle(resolved, "broken-names")
+    row = resolved.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("_spans")), F.lit(0)).alias("c")).first()
+    # Few finds go to the texts. Else one row per distinct text on the right: adaptive execution splits a text with
+    # very many copies.
+    few = Size(row["n"], SPAN_CHARS * row["c"]).bounded
+    joined = keyed.join(F.broadcast(resolved) if few else resolved.hint("merge"), "_key", "left")
     found = F.transform("_spans", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["entity_type"].alias("alias"),
         F.substring(F.col(column), s["start"] + 1, s["end"] - s["start"]).alias("text"), (-s["score"]).cast("int").alias("edits")))

@@ -129,3 +129,23 @@ def test_stretches_end_with_their_text():
     sizes = np.ones(12, np.bool_)
     owner, start, end = stretches(s, 3, sizes)
     assert sorted(zip(owner.tolist(), written(s, start, end))) == [(0, "ab"), (0, "abcd"), (0, "cd"), (1, "ef"), (3, "gh"), (3, "ij")]
+
+
+def test_stretches_that_share_no_half_with_a_name_are_not_joined(spark, registry_of):
+    """Only what may be a name, or one edit away from one, leaves the search; every such stretch does."""
+    rng = random.Random(5)
+    names = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(8, 14))) for _ in range(60)] + ["quirk"]
+    index = broken_names.deletion_index(registry_of(client=names))
+    near = []
+    for name in names[:40]:
+        at, letter = rng.randrange(len(name)), rng.choice("mnop")
+        near.append(rng.choice([name, name[:at] + name[at + 1:], name[:at] + letter + name[at + 1:], name[:at] + letter + name[at:]]))
+    far = [name[:2] + "zz" + name[4:-2] + "yy" for name in names[:60]]
+    texts = spark.createDataFrame([(w.encode(), w) for w in near + far + ["quirk", "quark"]], "text_key binary, text string")
+    held = {r["skeleton"] for r in broken_names._stretches_of(texts, index).select("skeleton").collect()}
+    assert set(near) | {"quirk"} <= held
+    table = broken_names.half_table(index)
+    s = skeletons(far)
+    start, end = s.starts, s.ends
+    passed = broken_names.shares_half(s, start, end, LEAST_MISSPELT, lambda h: broken_names.may_be_in(table, h) & broken_names.may_be_in(table, h >> np.uint64(32)))
+    assert passed.sum() < 5
