@@ -2,11 +2,14 @@
 
 import random
 from itertools import product
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from maskmetrics.functions import tagger as G
+from maskmetrics.operators import names as names_module
 from maskmetrics.operators.names import _unmarked, learn_names, marked_texts
 from maskmetrics.operators.pii import PluginDetector, detect_pii
 
@@ -100,6 +103,28 @@ def test_held_out_names_are_found(spark):
     assert {s[2] for s in tagger.find([long])[0]} == {"PERSON", "ORGANIZATION"}
 
 
+def test_texts_are_tagged_together(monkeypatch):
+    weights = np.random.default_rng(5).normal(size=(G.BUCKETS + G.TAGS, G.TAGS)).astype(np.float32)
+    texts = [n[1] for n in _notes(60, 4)[0]] + ["", "no capital\n\nAnn Lee of Acme\r\n\u00c0 Paris \u00c9mile", "A"]
+    tagger = names_module.NameTagger(SimpleNamespace(value=weights), 1.0, 1)
+    calls = []
+    monkeypatch.setattr(names_module, "best_tags", lambda *a: calls.append(1) or G.best_tags(*a))
+    together = tagger.find(texts)
+    assert len(calls) == 1
+    assert together == [tagger.find([t])[0] for t in texts] and sum(map(len, together)) > 60
+
+
+def test_texts_are_read_once_for_all_rounds():
+    texts = ["Nothing. Call with \ue010Ann Lee\ue001 of \ue011Acme\ue001 today.\nsmall letters only\nThen \ue011Acme\ue001 wrote. It ended.", None, "no name"]
+    words = G.Words()
+    wanted = [(G.features(p, np.array([len(p)])), tags) for p, tags in names_module._gold(texts[0], words)]
+    parsed = list(names_module._parsed([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))
+    got = list(names_module._sentences(parsed[0]))
+    assert len(parsed) == 1 and len(got) == len(wanted) == 2
+    assert all((f == g).all() and (t == u).all() for (f, t), (g, u) in zip(got, wanted))
+    assert [t.tolist() for _, t in wanted] == [[0, 0, 1, 2, 0, 3, 0, 0], [0, 3, 0, 0]]
+
+
 def test_nothing_known_nothing_found(spark):
     empty = spark.createDataFrame([], "value string, entity_type string")
     rows, _ = _notes(20, 3)
