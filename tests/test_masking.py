@@ -1,12 +1,14 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from maskmetrics.operators import masking
 from maskmetrics.functions.matcher import Matcher
-from maskmetrics.operators.masking import holds_text, mask_json, mask_nested, mask_plan, mask_table, mask_text
+from maskmetrics.operators.masking import _rewrite_array, holds_text, mask_json, mask_nested, mask_plan, mask_table, mask_text
 
 PLANS = ("small", "medium", "large")
 
@@ -140,3 +142,16 @@ def test_entries_of_other_texts_change_nothing(spark, registry_of, monkeypatch):
     monkeypatch.setattr(masking, "key_filter", lambda *a: lambda c: F.lit(True))
     masked = mask_text(df, "text", registry, "large").collect()
     assert dict(map(tuple, masked)) == {1: "by Client_B", 2: "Client_C and Client_B", 3: "Client_A"}
+
+
+def test_every_leaf_knows_its_row():
+    kind = pa.struct([("t", pa.string()), ("many", pa.list_(pa.struct([("s", pa.string()), ("n", pa.int64())]))), ("m", pa.map_(pa.string(), pa.list_(pa.string())))])
+    rows = [{"t": "skipped", "many": None, "m": None}, None, {"t": "a", "many": [{"s": "b", "n": 1}, None, {"s": None, "n": 2}], "m": [("k", ["c", "d"]), ("l", None)]},
+            {"t": None, "many": [], "m": []}, {"t": "e", "many": None, "m": None}, {"t": "f", "many": [{"s": "g", "n": 3}], "m": [("k", ["h"])]}]
+
+    def named(strings, owner):
+        return pa.array([None if s is None else f"{s}{i}" for s, i in zip(strings.to_pylist(), owner.tolist())], strings.type)
+
+    got = _rewrite_array(pa.array(rows, kind).slice(1), named, np.arange(5)).to_pylist()
+    assert got == [None, {"t": "a1", "many": [{"s": "b1", "n": 1}, None, {"s": None, "n": 2}], "m": [("k", ["c1", "d1"]), ("l", None)]},
+                   {"t": None, "many": [], "m": []}, {"t": "e3", "many": None, "m": None}, {"t": "f4", "many": [{"s": "g4", "n": 3}], "m": [("k", ["h4"])]}]

@@ -78,3 +78,13 @@ def test_without_names_nothing_changes(spark, registry_of):
 def test_unknown_types_are_not_guessed():
     with pytest.raises(ValueError):
         V.with_strings(bytes([40 << 2]), iter([]))
+
+
+def test_a_value_whose_strings_stay_keeps_its_bytes():
+    # An array of one object with wider offsets than it needs, as a writer may choose them.
+    inside = bytes([V.OBJECT | 1 << 2, 1, 0]) + (0).to_bytes(2, "little") + (5).to_bytes(2, "little") + V._string("acme")
+    data = bytes([V.ARRAY, 2, 0, len(inside), len(inside) + 3]) + inside + V._string("by")
+    assert list(V.strings_of(data)) == ["acme", "by"]
+    assert V.with_strings(data, iter(["acme", "by"])) == data
+    changed = V.with_strings(data, iter(["acme", "it"]))
+    assert list(V.strings_of(changed)) == ["acme", "it"] and inside in changed
