@@ -89,22 +89,37 @@ def _characters(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit("."), F.lit(0))
 
 
+# Digits of base 58 that are taken in at once: 58 ** 6 times a limb of 24 bits is still a long.
+BASE58_CHUNK = 6
+
+
 def base58_hex(c: Column) -> Column:
     """The number that ``c`` writes in base 58, as 54 hexadecimal digits; its digits must be of that base."""
     bits = 24
     zero = F.array(*[F.lit(0).cast("long")] * 9)
+    # A leading 1 is a zero.
+    full = (F.ceil(F.greatest(F.char_length(c), F.lit(1)) / BASE58_CHUNK) * BASE58_CHUNK).cast("int")
 
-    def times_58_plus(limbs: Column, digit: Column) -> Column:
-        start = F.struct(digit.cast("long").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+    def number(digits: Column) -> Column:
+        value = F.lit(0).cast("long")
+        for i in range(1, BASE58_CHUNK + 1):
+            value = value * 58 + F.instr(F.lit(BASE58), F.substring(digits, i, 1)) - 1
+        return value
+
+    def shifted_plus(limbs: Column, chunk: Column) -> Column:
+        start = F.struct(chunk.alias("carry"), F.array().cast("array<bigint>").alias("out"))
 
         def step(acc: Column, limb: Column) -> Column:
-            value = limb * 58 + acc["carry"]
-            return F.struct(F.shiftright(value, bits).alias("carry"), F.concat(acc["out"], F.array(value.bitwiseAND(F.lit((1 << bits) - 1)))).alias("out"))
+            return bind(limb * 58 ** BASE58_CHUNK + acc["carry"], lambda value: F.struct(
+                F.shiftright(value, bits).alias("carry"), F.concat(acc["out"], F.array(value.bitwiseAND(F.lit((1 << bits) - 1)))).alias("out")))
 
         return F.aggregate(limbs, start, step, lambda acc: acc["out"])
 
+    def chunks(padded: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.char_length(padded), F.lit(BASE58_CHUNK)), lambda i: number(F.substring(padded, i, F.lit(BASE58_CHUNK))))
+
     # The lowest limb first.
-    limbs = F.aggregate(_characters(c), zero, lambda acc, ch: times_58_plus(acc, F.instr(F.lit(BASE58), ch) - 1))
+    limbs = F.aggregate(bind(F.lpad(c, full, F.lit("1")), chunks), zero, shifted_plus)
     return F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(F.hex(x), 6, "0")), "")
 
 

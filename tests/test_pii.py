@@ -179,3 +179,19 @@ def test_weak_patterns_pass_with_their_context_only(spark):
     spans = detect_pii(spark.createDataFrame([(long,)], "t string"), "t").first()["spans"]
     assert len(spans) == 3_000 and spans[-1]["end"] == len(long) - 1
     assert all(not r["spans"] for r in detect_pii(df, "t", threshold=0.8).collect())
+
+
+def test_base58_numbers_by_chunks(spark):
+    from maskmetrics.functions.pii_rules import BASE58, BASE58_CHUNK, base58_hex
+    # A limb times the weight of a chunk, and what is carried, fit in a long.
+    assert 58 ** BASE58_CHUNK << 24 < 1 << 62
+    texts = ["1" * n for n in (1, 6, 30)] + [(BASE58[::-1] + BASE58)[:n] for n in range(1, 37)]
+
+    def number(text):
+        value = 0
+        for ch in text:
+            value = value * 58 + BASE58.index(ch)
+        return f"{value:054X}"
+
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", base58_hex(F.col("t")).alias("h")).collect()
+    assert all(r["h"] == number(r["t"]) for r in got) and len(got) == len(texts)
