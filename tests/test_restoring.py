@@ -184,3 +184,15 @@ def test_joined_values_move_no_digest_of_the_words(spark):
     restored = restore_text(df, "text", mapping, plan="join")
     assert "sha2(" not in restored._jdf.queryExecution().optimizedPlan().toString()
     assert dict(map(tuple, restored.collect())) == {1: "Acme, Zed, Acme", 2: "Acme, Zed, Acme", 3: "none", 4: "Client_C", 5: None}
+
+
+def test_texts_of_foreign_aliases_take_no_part_in_the_join(spark):
+    mapping = spark.createDataFrame([(f"Client_{i}", f"Acme \"{i}\"") for i in range(27, 60)], "alias string, value string")
+    texts = [(i, f'F("Client_{i}") && Client_{i} = "Client_27 or Client_{i}"') for i in range(50, 400)] + [(1, "none"), (2, '"Client_999"'), (3, None)]
+    df = spark.createDataFrame(texts, "id int, text string")
+    by_plan = {p: rewrite_alias_literals(df, "text", mapping, plan=p) for p in ("join", "broadcast")}
+    assert "Union" in by_plan["join"]._jdf.queryExecution().optimizedPlan().toString()
+    got = {p: sorted(map(tuple, r.collect())) for p, r in by_plan.items()}
+    assert got["join"] == got["broadcast"] and len(got["join"]) == len(texts)
+    foreign = spark.createDataFrame([(2, '"Client_999"')], "id int, text string")
+    assert rewrite_alias_literals(foreign, "text", mapping, plan="join").first()["rewritten"] == '"Client_999"'
