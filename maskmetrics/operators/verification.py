@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from maskmetrics.functions.claims import at_precision, format_claim, numeric_cell, parse_numbers
 from maskmetrics.functions.panels import read_panels
 from maskmetrics.functions.text import bind, strip
-from maskmetrics.operators.lookup import salted_join
+from maskmetrics.operators.lookup import hot_join
 from maskmetrics.operators.restoring import rewrite_alias_literals
 from maskmetrics.session import settle, ship, spread_small
 
@@ -71,9 +71,10 @@ def split_statements(body: Column | str) -> Column:
 
 def statement_panels(panels: DataFrame, key: str = "report_id") -> DataFrame:
     """(key, panel_no, statement_no, section, family, query, expected) per statement."""
+    # The outer form: the planner adds a test to the other one, which works out the parts twice more. There is a part always.
     split = panels.select(key, "panel_no", "family", "label", split_statements("body").alias("parts"))
     each = split.select(key, "panel_no", "family", "label", F.size("parts").alias("n"),
-                        F.posexplode("parts").alias("statement_no", "part"))
+                        F.posexplode_outer("parts").alias("statement_no", "part"))
     lines = F.split("part", "\n")
     stated = F.filter(lines, lambda x: x.rlike(RESULT_LINE))
     claims = F.flatten(F.transform(stated, lambda x: parse_numbers(F.regexp_extract(x, RESULT_LINE, 1))))
@@ -151,9 +152,17 @@ def matched_claims(claims: DataFrame, results: DataFrame, out: str = "matched")
     Values meet claims on (query, decimals, rounded value), so no claim is compared with
     all values of its query. A percentage also matches the fraction it stands for.
     """
-    wanted = claims.select("query_id", "decimals", "is_percent").distinct()
+    # Claims come out of parsed HTML: they are read twice and made once.
+    return _matched(settle(claims, "claims"), settle(results.select("query_id", "value"), "values"), out)
+
+
+def _matched(claims: DataFrame, results: DataFrame, out: str = "matched") -> DataFrame:
+    """``matched_claims`` of tables that are cheap to read again."""
+    shown = F.collect_set(F.struct("decimals", "is_percent"))
+    wanted = claims.groupBy("query_id").agg(shown.alias("_shown"))
     values = results.select("query_id", "value").distinct()
-    at_all = salted_join(values, wanted, ["query_id"], F.col("value"), "inner")
+    at_all = hot_join(values, wanted, ["query_id"], F.col("value"), "inner", results) \
+        .select("query_id", "value", F.explode("_shown").alias("_as")).select("query_id", "value", "_as.*")
     forms = F.when(F.col("is_percent"), F.array("value", F.col("value") * 100)).otherwise(F.array("value"))
     keys = at_all.select("query_id", "decimals", "is_percent", F.explode(forms).alias("v")) \
         .select("query_id", "decimals", "is_percent", at_precision(F.col("v"), F.col("decimals")).alias("_unit")) \
@@ -171,19 +180,27 @@ def derivable_claims(claims: DataFrame, totals: DataFrame) -> DataFrame:
     For a claim v and a total a the other total lies near a - v or a + v; it is looked up
     by its rounded value, so pairs of totals are never listed.
     """
-    asked = claims.select("query_id", "value", "decimals").distinct()
+    # Both are read several times and made once.
+    asked = settle(claims.select("query_id", "value", "decimals").distinct(), "asked")
+    totals = settle(totals.select("query_id", "col", "total"), "totals")
     unit = at_precision(F.col("value"), F.col("decimals"))
     # A query that very many reports quote is one key: its claims are dealt over copies of its totals.
-    with_total = salted_join(asked, totals.withColumnRenamed("col", "_col"), ["query_id"], F.struct("value", "decimals"), "inner")
+    with_total = hot_join(asked, totals.withColumnRenamed("col", "_col"), ["query_id"], F.struct("value", "decimals"), "inner")
     scale = F.pow(F.lit(10.0), F.col("decimals"))
     direct = with_total.where(at_precision(F.col("total"), F.col("decimals")) == unit)
-    near = F.explode(F.array(*(F.floor((F.col("total") + side * F.col("value")) * scale) + step
-                               for side in (-1, 1) for step in (-1, 0, 1))))
+
+    def slot(unit: Column) -> Column:
+        # Four units share a slot: what lies one unit to either side is in one or two of them.
+        return F.shiftright(unit, 2)
+
+    near = F.explode(F.array_distinct(F.array(*(slot(F.floor((F.col("total") + side * F.col("value")) * scale) + step)
+                                                for side in (-1, 1) for step in (-1, 1)))))
     probes = with_total.select("query_id", "value", "decimals", "total", "_col", near.alias("_slot"))
-    precisions = asked.select("query_id", "decimals").distinct()
-    slots = salted_join(totals, precisions, ["query_id"], F.col("col"), "inner").select(
+    precisions = asked.groupBy("query_id").agg(F.collect_set("decimals").alias("_decimals"))
+    slots = hot_join(totals, precisions, ["query_id"], F.col("col"), "inner") \
+        .select("query_id", "col", "total", F.explode("_decimals").alias("decimals")).select(
         "query_id", "decimals", F.col("col").alias("_other"), F.col("total").alias("_total"),
-        F.floor(F.col("total") * scale).alias("_slot"))
+        slot(F.floor(F.col("total") * scale)).alias("_slot"))
     pairs = probes.join(slots, ["query_id", "decimals", "_slot"]).where(
         (F.col("_col") != F.col("_other"))
         & (at_precision(F.abs(F.col("total") - F.col("_total")), F.col("decimals")) == unit))
@@ -198,8 +215,9 @@ def diff_expected(claims: DataFrame, results: DataFrame) -> DataFrame:
 
 def claim_rows(panels: DataFrame, key: list[str]) -> DataFrame:
     """One row per claim: (key.., query_id, claim_no, value, decimals, is_percent)."""
-    return panels.select(*key, "query_id", F.posexplode("expected").alias("claim_no", "c")) \
-        .select(*key, "query_id", "claim_no", "c.value", "c.decimals", "c.is_percent")
+    # The outer form: the planner adds a test to the other one, which parses the claims twice more.
+    return panels.select(*key, "query_id", F.posexplode_outer("expected").alias("claim_no", "c")) \
+        .where(F.col("claim_no").isNotNull()).select(*key, "query_id", "claim_no", "c.value", "c.decimals", "c.is_percent")
 
 
 def verify(panels: DataFrame, results: DataFrame, errors: DataFrame, key: list[str],
@@ -216,7 +234,7 @@ def verify(panels: DataFrame, results: DataFrame, errors: DataFrame, key: list[s
     # times below and must not be computed again.
     panels, results = settle(panels, "panels"), settle(results, "results")
     claims = claim_rows(panels, key)
-    flagged = settle(matched_claims(claims, results), "claims")
+    flagged = settle(_matched(claims, results), "claims")
     open_claims = flagged.where(~F.col("matched") & ~F.col("is_percent"))
     # Summed first: partial sums leave one row per column, however large a result is.
     totals = column_totals(results).join(open_claims.select("query_id").distinct(), "query_id", "left_semi")
@@ -242,7 +260,7 @@ def verify(panels: DataFrame, results: DataFrame, errors: DataFrame, key: list[s
     shown = _first_values(results, shown_values).join(failing, "query_id", "left_semi")
     messages = errors.groupBy("query_id").agg(F.min("message").alias("_error"))
     notes = messages.join(shown, "query_id", "full")
-    joined = salted_join(panels.join(per_panel, key, "left"), notes, ["query_id"], F.struct(*key))
+    joined = hot_join(panels.join(per_panel, key, "left"), notes, ["query_id"], F.struct(*key), counted=panels)
     error, missing = F.col("_error").isNotNull(), F.size(F.coalesce("_missing", F.array())) > 0
     none = F.size("expected") == 0
     empty = F.array().cast("array<string>")

@@ -4,9 +4,10 @@ import random
 from pyspark.sql import functions as F
 
 from maskmetrics.functions.claims import at_precision, numeric_cell, parse_numbers
+from maskmetrics.operators import lookup
 from maskmetrics.operators.verification import (
-    ERROR_SCHEMA, RESULT_SCHEMA, derivable_claims, flatten_results, report_panels, rewrite_panel_aliases, run_panels,
-    split_statements, verification_summary, verify)
+    ERROR_SCHEMA, RESULT_SCHEMA, claim_rows, column_totals, derivable_claims, flatten_results, matched_claims, report_panels,
+    rewrite_panel_aliases, run_panels, split_statements, verification_summary, verify)
 
 HTML = """<html><head><title>Depot of the north</title></head><body><pre>SELECT 0</pre>
 <main><div class="dax-query"><header><span class="dax-title">A. Open orders</span></header>
@@ -154,3 +155,30 @@ def test_run_panels_and_summary(spark):
     verified = spark.createDataFrame([("PASS", True), ("PASS", False), ("FAIL", True), ("ERROR", None)], "status string, value_checked boolean")
     assert verification_summary(verified).first().asDict() == {
         "total": 4, "passed": 2, "value_checked": 2, "execute_only": 1, "failed": 2}
+
+
+def test_reports_are_parsed_once(spark):
+    df = spark.createDataFrame([(1, HTML)], "report_id int, html string")
+    claims = claim_rows(report_panels(df).withColumn("query_id", F.lit("q")), ["report_id", "panel_no", "statement_no"])
+
+    def plan(d):
+        return d._jdf.queryExecution().optimizedPlan().toString()
+
+    assert plan(claims).count("regexp_extract_all") == 1
+    results = spark.createDataFrame([("q", 0, 0, "n", 41.0), ("q", 1, 0, "n", 17.0), ("q", 0, 1, "m", 7.25)], RESULT_SCHEMA)
+    matched = matched_claims(claims, results)
+    assert "MapInPandas" not in plan(matched)
+    assert {r["value"] for r in matched.where("matched").collect()} == {41.0, 17.0}
+    derived = derivable_claims(claims, column_totals(results))
+    assert "MapInPandas" not in plan(derived)
+    # 58 and 7.25 are the totals, no claim is one of them or their difference.
+    assert derived.count() == 0
+
+
+def test_only_hot_keys_are_shared_out(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "HOT_ROWS", 50)
+    rows = spark.createDataFrame([(f"k{min(i // 3, 5)}", i) for i in range(200)] + [(None, 0)], "k string, i int")
+    table = spark.createDataFrame([(f"k{j}", v) for j in range(8) for v in "ab"], "k string, v string")
+    for how in ("inner", "left"):
+        joined = lookup.hot_join(rows, table, ["k"], F.col("i"), how)
+        assert sorted(map(str, joined.collect())) == sorted(map(str, rows.join(table, ["k"], how).collect()))
