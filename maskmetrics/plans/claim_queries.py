@@ -14,7 +14,7 @@ from maskmetrics.plans.alias_queries import ALIASES, desk_registry
 from maskmetrics.plans.facts import MONEY, flag, table
 from maskmetrics.plans.registered import query
 from maskmetrics.operators.registry import get_mapping
-from maskmetrics.session import scratch_root
+from maskmetrics.session import scratch_root, settle
 from maskmetrics.sources.reports import write_verification
 
 KEY = ["report_id", "panel_no", "statement_no"]
@@ -101,7 +101,7 @@ def _query_id(panel: int, statement: int) -> Column:
 
 def panel_results(spark: SparkSession, d: str) -> DataFrame:
     """What the queries of the reports return, in long form."""
-    sums = ticket_sums(spark, d)
+    sums = settle(ticket_sums(spark, d), "sums")
     zero = F.lit(0)
     return (flatten_results(sums, _query_id(0, 0), zero, ["n", "resolved"])
             .unionByName(flatten_results(sums, _query_id(1, 0), zero, ["value"]))

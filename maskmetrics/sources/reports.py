@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from maskmetrics.operators.restoring import restore_html
+from maskmetrics.session import settle
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
@@ -24,6 +25,8 @@ def restore_files(spark: SparkSession, source: str, mapping: DataFrame, target:
 
 def write_verification(results: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Result rows and a one-row total, both as JSON."""
+    # Two outputs read the results: they are made once.
+    results = settle(results, "verified")
     results.write.mode(mode).json(f"{path}/results")
     totals = results.agg(
         F.count("*").alias("total"), F.count_if(F.col("status") == "PASS").alias("passed"),

@@ -196,3 +196,16 @@ def test_texts_of_foreign_aliases_take_no_part_in_the_join(spark):
     assert got["join"] == got["broadcast"] and len(got["join"]) == len(texts)
     foreign = spark.createDataFrame([(2, '"Client_999"')], "id int, text string")
     assert rewrite_alias_literals(foreign, "text", mapping, plan="join").first()["rewritten"] == '"Client_999"'
+
+
+def test_verification_is_worked_out_once_for_both_outputs(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def status(i):
+        seen.add(1)
+        return "PASS" if i else "FAIL"
+
+    write_verification(spark.range(4).select(status("id").alias("status")), str(tmp_path / "json"))
+    assert seen.value == 4
+    assert spark.read.json(str(tmp_path / "json" / "totals")).first().asDict() == {"total": 4, "passed": 3, "failed": 1}
