@@ -1,9 +1,11 @@
 import base64
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 
+from maskmetrics.llm import simhash, toxicity, words
 from maskmetrics.llm.bpe import Merger, TextDecoder, TextEncoder, encode_texts, read_ranks
 
 tokenizers = pytest.importorskip("public_tokenizers")
@@ -63,3 +65,33 @@ def test_rows_null_empty_and_clashing(spark, reference):
         ids = np.frombuffer(bytes(r["ids"]), "<u4").tolist()
         assert ids == reference.encode_ordinary(r["text"] or "") and bytes(r["back"]) == (r["text"] or "").encode()
     assert encode_texts(spark.createDataFrame([], schema), RANKS, tokenizers.PATTERN).count() == 0
+
+
+def test_matrices_of_many_new_pieces_stay_small(merger):
+    rng = random.Random(8)
+    pieces = list({bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz", k=rng.randint(17, 32))) for _ in range(60_000)})
+    tracemalloc.start()
+    merger.encode(pieces)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+
+def test_hash_powers_are_no_larger_than_asked():
+    powers = words._Powers()
+    up, down = powers.upto((1 << 21) + 2)
+    assert len(up) == len(down) == (1 << 21) + 2 and len(powers.up) < (1 << 21) + (1 << 17)
+    assert int(up[-1]) * int(down[-1]) % (1 << 64) == 1
+
+
+@pytest.mark.parametrize("add", [
+    lambda df: encode_texts(df, RANKS, tokenizers.PATTERN), lambda df: simhash.with_fingerprints(df),
+    lambda df: toxicity.with_passages(df, toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), -0.01, 1.0))])
+def test_a_text_that_is_carried_along_goes_to_python_once(spark, add):
+    rows = [(1, "one two", "x"), (2, None, "y"), (2, "", "x"), (2, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out, other = add(df), add(df.select("text", "lang", "doc_id"))
+    sent = out._jdf.queryExecution().analyzed().children().apply(0).output()
+    assert [sent.apply(i).name() for i in range(sent.size())] == df.columns
+    assert sorted(((r["doc_id"], r["text"], r["lang"]) for r in out.collect()), key=str) == sorted(rows, key=str)
+    assert sorted((r.asDict() for r in out.collect()), key=str) == sorted(({c: r[c] for c in out.columns} for r in other.collect()), key=str)
