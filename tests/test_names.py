@@ -125,6 +125,15 @@ def test_texts_are_read_once_for_all_rounds():
     assert [t.tolist() for _, t in wanted] == [[0, 0, 1, 2, 0, 3, 0, 0], [0, 3, 0, 0]]
 
 
+def test_all_texts_take_part(spark, monkeypatch):
+    rows = [(f"Call with Ann Lee about case {i}.",) for i in range(10)] + [(f"Nobody We Know wrote case {i}.",) for i in range(60)]
+    names = spark.createDataFrame([("Ann Lee", "PERSON")], "value string, entity_type string")
+    read = []
+    monkeypatch.setattr(names_module, "_round", lambda sample, weights: read.append(sample.count()) or (weights, 1.0))
+    tagger = learn_names(spark.createDataFrame(rows, "t string"), "t", names)
+    assert tagger.texts == 70 and read == [70] * names_module.ROUNDS
+
+
 def test_nothing_known_nothing_found(spark):
     empty = spark.createDataFrame([], "value string, entity_type string")
     rows, _ = _notes(20, 3)
