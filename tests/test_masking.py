@@ -155,3 +155,18 @@ def test_every_leaf_knows_its_row():
     got = _rewrite_array(pa.array(rows, kind).slice(1), named, np.arange(5)).to_pylist()
     assert got == [None, {"t": "a1", "many": [{"s": "b1", "n": 1}, None, {"s": None, "n": 2}], "m": [("k", ["c1", "d1"]), ("l", None)]},
                    {"t": None, "many": [], "m": []}, {"t": "e3", "many": None, "m": None}, {"t": "f4", "many": [{"s": "g4", "n": 3}], "m": [("k", ["h4"])]}]
+
+
+def test_runs_found_by_a_broadcast_table_are_those_found_in_the_plan(spark, registry_of, monkeypatch):
+    rng = random.Random(5)
+    values = ["Acme Corp", "Acme", "B C D", "A B", "+++", "\u00c9 x", "new york city", "york"] + [f"Name {i}" for i in range(40)]
+    registry = registry_of(client=values)
+    pieces = [*values, "x", "ACME", "'s", "a", "e\u0301 X", "\n", "+", "b"]
+    texts = ["".join(rng.choice(pieces) + rng.choice(" -") for _ in range(rng.randint(0, 12))) for _ in range(200)] + [None, ""]
+    df = spark.createDataFrame([(i, [t, texts[-i - 1], None]) for i, t in enumerate(texts)], "id int, many array<string>")
+    want = sorted(map(str, mask_nested(df, "many", registry, "large").collect()))
+    tables = []
+    monkeypatch.setattr(masking, "MOST_IN_PLAN", 0)
+    monkeypatch.setattr(masking, "key_filter", lambda *a: tables.append(a))
+    assert sorted(map(str, mask_nested(df, "many", registry, "large").collect())) == want
+    assert tables == []

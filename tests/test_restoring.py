@@ -209,3 +209,15 @@ def test_verification_is_worked_out_once_for_both_outputs(spark, tmp_path):
     write_verification(spark.range(4).select(status("id").alias("status")), str(tmp_path / "json"))
     assert seen.value == 4
     assert spark.read.json(str(tmp_path / "json" / "totals")).first().asDict() == {"total": 4, "passed": 3, "failed": 1}
+
+
+def test_no_plan_holds_the_table_of_a_large_mapping(spark, monkeypatch):
+    from maskmetrics.operators import lookup
+    seen = []
+    monkeypatch.setattr(lookup, "settle", lambda df, label, *a: seen.append((label, df._jdf.queryExecution().optimizedPlan().toString())) or df)
+    mapping = spark.range(27, 20_000).select(F.concat(F.lit("Client_"), F.col("id").cast("string")).alias("alias"), F.concat(F.lit("Acme "), F.col("id").cast("string")).alias("value"))
+    df = spark.createDataFrame([(1, "Client_27, Client_19999 and Client_27"), (2, "none"), (3, None), (4, "Client_20000")], "id int, text string")
+    restored = restore_text(df, "text", mapping, plan="join")
+    assert "wanted" in dict(seen) and max(len(plan) for _, plan in seen) < 20_000
+    monkeypatch.undo()
+    assert dict(map(tuple, restored.collect())) == {1: "Acme 27, Acme 19999 and Acme 27", 2: "none", 3: None, 4: "Client_20000"}
