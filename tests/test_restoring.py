@@ -211,6 +211,13 @@ def test_verification_is_worked_out_once_for_both_outputs(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json" / "totals")).first().asDict() == {"total": 4, "passed": 3, "failed": 1}
 
 
+def test_strings_with_common_grams_have_keys_of_their_own(spark):
+    from maskmetrics.operators.odd_aliases import gram_index
+    strings = spark.range(3_000).select(F.concat(F.lit("desk-"), F.col("id").cast("string"), F.lit("#")).alias("string"))
+    shared = gram_index(strings).groupBy("gram").count().agg(F.max("count")).first()[0]
+    assert shared == 1
+
+
 def test_no_plan_holds_the_table_of_a_large_mapping(spark, monkeypatch):
     from maskmetrics.operators import lookup
     seen = []
